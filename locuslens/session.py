@@ -23,3 +23,12 @@ def build_session(master: str = "local[8]", app: str = "locuslens", **conf: str)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given Parquet tables (a file or a folder of part files)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """A new folder for derived text files: below the cluster's shared folder, a temporary one only where none is set."""
+    import tempfile
+    import uuid
+
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{where.rstrip('/')}/files-{uuid.uuid4().hex}" if where else "file://" + tempfile.mkdtemp(prefix="locuslens-files-")
