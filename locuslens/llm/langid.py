@@ -61,7 +61,7 @@ def codewords(count: int, seed: int = 5) -> np.ndarray:
     """One codeword per language: all splits for up to 5 languages, else the best of seeded random codes."""
     if count <= 5:
         bits = max(1, 2 ** (count - 1) - 1)
-        code = np.array([[1 if i == 0 else (b + 1) >> (i - 1) & 1 for b in range(bits)] for i in range(count)])
+        code = np.array([[1 if i == 0 else b >> (i - 1) & 1 for b in range(bits)] for i in range(count)])
         return np.where(code == 1, 1.0, -1.0)
     bits, best, spread = 15 + 5 * int(np.ceil(np.log2(count))), None, -1
     r = np.random.default_rng(seed)
