@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from locuslens.operators import intervals
 from locuslens.session import table
 
 
@@ -99,12 +100,13 @@ def duck(name: str) -> str:
 
 
 def reference(spark: SparkSession, sf_dir: str, reach: int = 600) -> DataFrame:
-    """Reference chunks ``(chrom, chunk, bases)`` of 32 bases around all sites."""
-    return spark.sql(
+    """Reference tiles from generated chunks of 32 bases around all sites."""
+    chunks = spark.sql(
         f"""select distinct chrom, chunk, {dna("chrom || ':' || cast(chunk as string)")} as bases from
         (select chrom, explode(sequence(cast(greatest(0, floor((start - {reach}) / 32)) as bigint), cast(floor((start + {reach}) / 32) as bigint))) as chunk from {{sites}}) c""",
         sites=view(spark, sf_dir, "sites"),
     )
+    return intervals.reference_tiles(chunks, reach=2048)
 
 
 def duck_slice(chrom: str, start: str, end: str) -> str:

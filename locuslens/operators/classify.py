@@ -8,7 +8,7 @@ shape that cannot be spliced is classified by its own alignment (no realignment
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locuslens.functions import dna
@@ -17,28 +17,37 @@ from locuslens.operators import alignments, intervals
 KEY = ["sample", "qname", "ordinal", "locus"]
 
 
+def settle(df: DataFrame) -> DataFrame:
+    """``df`` with its columns computed once: a one-element explode that the optimiser does not merge away.
+
+    Merged stages would repeat every earlier expression wherever a later one uses it.
+    """
+    return df.select(F.explode(F.array(F.struct(*(F.col(f"`{c}`") for c in df.columns)))).alias("_row")).select("_row.*")
+
+
 def reads_in_loci(reads: DataFrame, loci: DataFrame, window: int = 100) -> DataFrame:
     """Pairs of reads and loci ``(locus, locus_chrom, locus_start, locus_end)`` within ``window`` bases."""
     wide = loci.withColumn("_from", F.col("locus_start") - window).withColumn("_to", F.col("locus_end") + window)
     return intervals.overlap_join(reads, wide, ("chrom", "pos", "end"), ("locus_chrom", "_from", "_to")).drop("_from", "_to")
 
 
-def reanchor_clips(pairs: DataFrame, reference: DataFrame, window: int = 100, least: int = 5) -> DataFrame:
+def reanchor_clips(pairs: DataFrame, reference: DataFrame, window: int = 100, least: int = 5, asks: Column | None = None) -> DataFrame:
     """``pairs`` with ``hit``: where the longer clip lies in the adjacent ``window`` of reference, if it does.
 
     Left clips take the last occurrence that ends before the read, right clips the first after it; ``hit``
-    is the 0-based start of the occurrence.
+    is the 0-based start of the occurrence. Pairs that ``asks`` rules out have none.
     """
     left, right = F.col("left_clip"), F.col("right_clip")
-    side = F.when((left > right) & (left >= least), "L").when((right > left) & (right >= least), "R")
+    asked = F.lit(True) if asks is None else F.coalesce(asks, F.lit(False))
+    side = F.when(asked & (left > right) & (left >= least), "L").when(asked & (right > left) & (right >= least), "R")
     sided = pairs.withColumn("clip_side", side).withColumn("_a", F.when(F.col("clip_side") == "L", F.greatest(F.lit(0), F.col("pos") - window)).when(F.col("clip_side") == "R", F.col("end")))
     sided = sided.withColumn("_b", F.when(F.col("clip_side") == "L", F.col("pos")).when(F.col("clip_side") == "R", F.col("end") + window))
-    near = intervals.fetch_sequence(sided, reference, KEY, "chrom", "_a", "_b", "_near")
+    near = intervals.fetch_sequence(sided, reference, "chrom", "_a", "_b", "_near")
     clip = F.when(F.col("clip_side") == "L", F.substring("seq", F.lit(1), left.cast("int"))).otherwise(F.right("seq", right.cast("int")))
-    found = near.withColumn("_clip", clip)
+    found = settle(near.withColumn("_clip", clip))
     last = F.length("_near") - F.instr(F.reverse("_near"), F.reverse("_clip")) - F.length("_clip") + 1
     at = F.when((F.col("clip_side") == "L") & (F.instr(F.reverse("_near"), F.reverse("_clip")) > 0), last).when((F.col("clip_side") == "R") & (F.instr("_near", F.col("_clip")) > 0), F.instr("_near", F.col("_clip")) - 1)
-    return found.withColumn("hit", (F.col("_a") + at).cast("bigint")).drop("_a", "_b", "_near", "_clip")
+    return found.withColumn("hit", (F.col("_a") + at).cast("bigint")).drop("_a", "_b", "_near", "_clip", "clip_side")
 
 
 def classify(pairs: DataFrame, reference: DataFrame, window: int = 100, distance: int = 25, min_sa_mapq: int = 10, max_nm: int = 5, far: int = 100_000, least_clip: int = 5) -> DataFrame:
@@ -48,6 +57,7 @@ def classify(pairs: DataFrame, reference: DataFrame, window: int = 100, distance
     own = own.withColumns({"left_clip": dna.left_clip(c), "right_clip": dna.right_clip(c), "start1": F.col("pos") + 1, "end1": F.col("end"), "strand": F.when(dna.has_flag(dna.REVERSE), "-").otherwise("+"), "s": F.get(dna.supplementary(F.col("sa")), F.lit(0))})
     own = own.withColumns({"s_span": dna.op_total(F.col("s")["cigar"], "MDN"), "s_left": dna.left_clip(F.col("s")["cigar"], dna.CLIP_OPS), "s_right": dna.right_clip(F.col("s")["cigar"], dna.CLIP_OPS), "s_query": dna.op_total(F.col("s")["cigar"], "MI")})
     left, right = F.col("left_clip"), F.col("right_clip")
+    own = settle(own)
     alike = (F.col("s")["mq"] >= min_sa_mapq) & (F.col("s")["nm"] < max_nm) & (F.col("s")["chrom"] == F.col("chrom")) & (F.col("s")["strand"] == F.col("strand"))
     before = (left > right) & alike & (F.col("s")["pos"] < F.col("start1")) & (F.col("start1") - F.col("s")["pos"] < far)
     after = (right > left) & alike & (F.col("s")["pos"] > F.col("end1")) & (F.col("s")["pos"] - F.col("end1") < far)
@@ -59,8 +69,7 @@ def classify(pairs: DataFrame, reference: DataFrame, window: int = 100, distance
     # clips without a usable supplementary alignment may lie in the reference nearby
     asks = ((left > right) & ~F.col("near_left")) | ((right > left) & F.col("s").isNull())
     own = own.withColumn("asks", asks)
-    hits = reanchor_clips(own.where("asks").select(*KEY, "chrom", "pos", "end", "seq", "left_clip", "right_clip"), reference, window, least_clip).select(*KEY, "hit")
-    own = own.join(hits, KEY, "left")
+    own = reanchor_clips(own, reference, window, least_clip, F.col("asks"))
     body = F.regexp_replace(c, "^[0-9]+S", "")
     trunk = F.regexp_replace(c, "[0-9]+S$", "")
     gap = lambda n: F.when(n > 0, F.concat(n.cast("string"), F.lit("D"))).otherwise(F.lit(""))
@@ -72,12 +81,12 @@ def classify(pairs: DataFrame, reference: DataFrame, window: int = 100, distance
         .when(F.col("hit").isNotNull(), F.concat(trunk, gap(F.col("hit") - F.col("end")), m(right)))
         .otherwise(c)
     )
-    own = own.withColumn("joined", joined)
+    own = settle(own.withColumn("joined", joined))
     start = F.when(F.col("near_left"), F.col("s")["pos"]).when(F.col("hit").isNotNull() & (left > right), F.col("hit") + 1).otherwise(F.col("start1"))
     own = own.withColumn("start1", start)
     span_end = F.col("start1") + dna.op_total(F.col("joined"), "MDN")
     end = F.when((right > left) & F.col("s").isNotNull(), span_end).when((right > left) & F.col("hit").isNotNull(), span_end).otherwise(F.col("end1"))
-    own = own.withColumn("end1", end)
+    own = settle(own.withColumn("end1", end))
     own = own.where((F.col("start1") - left < F.col("locus_end") + distance) & (F.col("end1") + right > F.col("locus_start") - distance))
     # strip outer clips, then the outer matches: what is left is the event
     q_from = dna.left_clip(F.col("joined"), dna.CLIP_OPS)
@@ -85,20 +94,21 @@ def classify(pairs: DataFrame, reference: DataFrame, window: int = 100, distance
     own = own.withColumns({"core": core, "q_from": q_from})
     lead = dna.first_length(F.col("core"), "^([0-9]+)M")
     event = F.regexp_replace(F.regexp_replace(F.col("core"), "^[0-9]+M", ""), "[0-9]+M$", "")
+    own = settle(own)
     own = own.withColumns({"is_event": dna.op_count(F.col("core")) > 1, "lead": lead, "event": event})
     own = own.withColumns({"e_pos": F.col("start1") + F.col("lead"), "e_query": F.col("q_from") + F.col("lead"), "e_ops": dna.op_count(F.col("event")), "e_all": dna.op_total(F.col("event"), "MIDNSHP=X")})
     single_i = (F.col("e_ops") == 1) & F.col("event").endswith("I")
     single_d = (F.col("e_ops") == 1) & F.col("event").rlike("[DN]$")
     kind = F.when(F.col("is_event"), F.when(single_i, "I").when(single_d, "D").otherwise("C"))
-    own = own.withColumn("kind", kind)
+    own = settle(own.withColumn("kind", kind))
     own = own.withColumns({"ref_from": F.when(F.col("kind") == "I", F.col("e_pos") - 2).when(F.col("kind").isNotNull(), F.col("e_pos") - 1), "ref_to": F.when(F.col("kind") == "I", F.col("e_pos") - 1).when(F.col("kind").isNotNull(), F.col("e_pos") + F.col("e_all"))})
-    own = intervals.fetch_sequence(own, reference, KEY, "chrom", "ref_from", "ref_to", "ref_bases")
+    own = intervals.fetch_sequence(own, reference, "chrom", "ref_from", "ref_to", "ref_bases")
     # breakends: trim the overlap of the two parts, then test distance and order
     p_query = dna.op_total(F.col("core"), "MI")
     trim = F.greatest(F.lit(0), p_query + F.col("s_query") - F.length("seq"))
     s_pos = F.when(F.col("s_left") > F.col("s_right"), F.col("s")["pos"] + trim).otherwise(F.col("s")["pos"])
     s_end = F.when(F.col("s_right") > F.col("s_left"), F.col("s")["pos"] + F.col("s_span") - 1 - trim).otherwise(F.col("s")["pos"] + F.col("s_span") - 1)
-    own = own.withColumns({"s_pos": s_pos, "s_end": s_end})
+    own = settle(own.withColumns({"s_pos": s_pos, "s_end": s_end}))
     apart = (F.col("s")["chrom"] != F.col("chrom")) | (F.abs(F.col("s_pos") - F.col("start1")) >= far)
     trusted = (F.col("s")["mq"] >= min_sa_mapq) & (F.col("s")["nm"] <= max_nm) & (F.col("s")["mq"] > 0) & apart
     broken = trusted | (F.col("s")["strand"] != F.col("strand")) | ((right > 0) & (F.col("s_end") < F.col("start1"))) | ((left > 0) & (F.col("s_pos") > F.col("end1")))
@@ -109,6 +119,7 @@ def classify(pairs: DataFrame, reference: DataFrame, window: int = 100, distance
     sl, sr = F.col("s_left") > F.col("s_right"), F.col("s_right") > F.col("s_left")
     pattern = F.when(same & rl & sl, 1).when(same & lr & sr, 2).when(~same & rl & sr, 3).when(~same & lr & sl, 4)
     own = own.withColumn("pattern", F.when(F.col("bnd"), pattern))
+    own = settle(own)
     touches = (F.col("start1") < F.col("locus_end")) & (F.col("end1") > F.col("locus_start"))
     kind_of = F.when(F.col("is_event"), "INDEL").when(F.col("bnd"), F.when(F.col("pattern").isNotNull(), "BND")).when(touches, "REF")
     own = own.withColumn("type", kind_of).where("type is not null")

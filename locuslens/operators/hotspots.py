@@ -13,16 +13,16 @@ def site_windows(sites: DataFrame, window: int = 200) -> DataFrame:
     return sites.select("chrom", F.greatest(F.lit(0), F.col("start") - window).cast("bigint").alias("start"), (F.col("start") + window).cast("bigint").alias("end"))
 
 
-def positions(windows: DataFrame, reference: DataFrame, chunk: int = 32) -> DataFrame:
+def positions(windows: DataFrame, reference: DataFrame) -> DataFrame:
     """Every position of the merged windows, both ends included, with its reference base.
 
-    Positions are joined to reference chunks by chunk number; the base is cut out of the chunk.
+    Bases come from the reference tiles by one lookup per merged window.
     """
-    listed = intervals.merge(windows).select("chrom", F.explode(F.sequence("start", "end")).alias("pos"))
-    at = listed.withColumn("chunk", F.floor((F.col("pos") - 1) / chunk))
-    found = at.join(reference, ["chrom", "chunk"], "left")
-    base = F.substring("bases", ((F.col("pos") - 1) - F.col("chunk") * chunk + 1).cast("int"), F.lit(1))
-    return found.select("chrom", "pos", base.alias("base"), F.lit("N").alias("alt"))
+    merged = intervals.merge(windows).withColumns({"a": F.greatest(F.lit(0), F.col("start") - 1), "b": F.col("end")})
+    found = intervals.fetch_sequence(merged, reference, "chrom", "a", "b", "bases")
+    listed = found.select("chrom", "a", "bases", F.explode(F.sequence("start", "end")).alias("pos"))
+    base = F.nullif(F.substring("bases", (F.col("pos") - F.col("a")).cast("int"), F.lit(1)), F.lit(""))
+    return listed.select("chrom", "pos", base.alias("base"), F.lit("N").alias("alt"))
 
 
 def vcf_lines(found: DataFrame) -> DataFrame:

@@ -58,15 +58,31 @@ def tile(end: Column, size: int) -> Column:
     return (F.floor((end - 1) / size) * size).cast("bigint")
 
 
-def fetch_sequence(df: DataFrame, reference: DataFrame, key: list[str], chrom: str, start: str, end: str, out: str, chunk: int = 32) -> DataFrame:
-    """``df`` with ``out``: reference bases of ``[start, end)``, 0-based; null where the reference lacks any.
+#: Bases from one reference tile to the next.
+TILE = 16384
 
-    ``reference`` holds fixed chunks ``(chrom, chunk, bases)``; ``key`` names the rows of ``df``.
+
+def reference_tiles(chunks: DataFrame, reach: int = 131_072, chunk: int = 32) -> DataFrame:
+    """``(chrom, tile, bases)``: bytes from every ``TILE``-th position on, ``reach`` bases past the next one.
+
+    ``chunks`` are ``(chrom, chunk, bases)`` pieces of ``chunk`` bases; lacking ones read ``N``. Tiles
+    overlap so that any slice of up to ``reach`` bases lies in one tile: a lookup is one equi join.
     """
-    wanted = df.select(*key, F.col(chrom).alias("_c"), F.col(start).alias("_s"), F.col(end).alias("_e")).where("_e > _s").distinct()
-    parts = wanted.select("*", F.explode(_bins(F.col("_s"), F.col("_e"), chunk)).alias("_k"))
-    met = parts.join(reference.select(F.col("chrom").alias("_c"), F.col("chunk").alias("_k"), "bases"), ["_c", "_k"])
-    text = met.groupBy(*key, "_s", "_e").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_k", "bases"))), lambda x: x.bases), "").alias("_t"), F.min("_k").alias("_k"), F.count("*").alias("_n"))
-    whole = F.col("_n") == F.floor((F.col("_e") - 1) / chunk) - F.floor(F.col("_s") / chunk) + 1
-    text = text.select(*key, F.when(whole, F.substring("_t", (F.col("_s") - F.col("_k") * chunk + 1).cast("int"), (F.col("_e") - F.col("_s")).cast("int"))).alias(out))
-    return df.join(text, key, "left")
+    at = F.col("chunk") * chunk
+    tiles = F.sequence(F.greatest(F.lit(0), F.ceil((at - TILE - reach + 1) / TILE)).cast("bigint"), F.floor(at / TILE))
+    parts = chunks.select("chrom", "chunk", "bases", F.explode(tiles).alias("tile"))
+    held = parts.groupBy("chrom", "tile").agg(F.map_from_entries(F.collect_list(F.struct("chunk", "bases"))).alias("m"), F.max("chunk").alias("last"))
+    first = (F.col("tile") * (TILE // chunk)).cast("bigint")
+    text = F.array_join(F.transform(F.sequence(first, F.col("last")), lambda k: F.coalesce(F.col("m")[k], F.lit("N" * chunk))), "")
+    return held.select("chrom", "tile", text.cast("binary").alias("bases"))
+
+
+def fetch_sequence(df: DataFrame, tiles: DataFrame, chrom: str, start: str, end: str, out: str) -> DataFrame:
+    """``df`` with ``out``: reference bases of ``[start, end)``, 0-based; null for null, negative or uncovered slices."""
+    wanted = df.withColumn("_tile", F.when((F.col(start) >= 0) & (F.col(end) > F.col(start)), F.floor(F.col(start) / TILE)))
+    known = tiles.select(F.col("chrom").alias("_c"), F.col("tile").alias("_t"), F.col("bases").alias("_bases"))
+    met = wanted.join(known, (F.col(chrom) == F.col("_c")) & (F.col("_tile") == F.col("_t")), "left")
+    offset, size = (F.col(start) - F.col("_tile") * TILE).cast("int"), (F.col(end) - F.col(start)).cast("int")
+    # slices of bytes, which need no walk over the characters before them
+    cut = F.substring("_bases", offset + 1, size).cast("string")
+    return met.withColumn(out, F.when(offset + size <= F.octet_length("_bases"), cut)).drop("_tile", "_c", "_t", "_bases")

@@ -172,7 +172,7 @@ def hotspot_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"with {duck('sites')} select site_id, {duck_slice('chrom', 'start - 11', 'start + 10')} as bases from sites_v")
 def ref_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     around = view(spark, sf_dir, "sites").select("site_id", "chrom", (F.col("start") - 11).alias("a"), (F.col("start") + 10).alias("b"))
-    return intervals.fetch_sequence(around, adapters.reference(spark, sf_dir), ["site_id"], "chrom", "a", "b", "bases").select("site_id", "bases")
+    return intervals.fetch_sequence(around, adapters.reference(spark, sf_dir), "chrom", "a", "b", "bases").select("site_id", "bases")
 
 
 @query(f"with {INTERVALS}, {duck('genes')}, hit as (select site_id, symbol, gene_end - gene_start as width from iv join genes_v on chrom = gene_chrom and start < gene_end and \"end\" > gene_start) select site_id, symbol, row_number() over (partition by site_id order by width, symbol) = 1 as picked from hit")
@@ -293,7 +293,7 @@ FLANKED = f"{ALLELES}, fl as (select *, {duck_slice('chrom', 'pos - 151', 'pos -
 @query(f"with {FLANKED} select locus, pos, ref, alt, ref_hap, substr(ref_hap, 1, 150) || alt || right(ref_hap, 150) as alt_hap from fl")
 def allele_flanks(spark: SparkSession, sf_dir: str) -> DataFrame:
     edited = allele_rows(spark, sf_dir).where("sample = 'edited'")
-    return control.allele_flanks(edited, adapters.reference(spark, sf_dir), ["locus", "pos", "ref", "alt"]).select("locus", "pos", "ref", "alt", "ref_hap", "alt_hap")
+    return control.allele_flanks(edited, adapters.reference(spark, sf_dir)).select("locus", "pos", "ref", "alt", "ref_hap", "alt_hap")
 
 
 @query(f"""with {ALLELES}, cr as (select r.*, l.locus from reads_v r join loci l on r.chrom = l.locus_chrom and r.pos < l.locus_end and r."end" > l.locus_start - {WINDOW} where sample = 'control' and {PRIMARY} and not regexp_full_match(cigar, '[0-9]+M'))
@@ -337,14 +337,14 @@ def usable_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return junctions.usable(alignments.join_mates(view(spark, sf_dir, "reads")))
 
 
-@query(f"""with {MATES}, j as (select *, mate_pos + case when flag & 32 = 0 then 151 else 0 end as at from mated where {USABLE} and flag & 2 = 0 and flag & 8 = 0 and chrom <> mate_chrom)
-  select qname, ordinal, mate_chrom as "Chromosome", at - 1 as "Start", at as "End", 'INS' as "Var", case when flag & 32 = 0 then '+' else '-' end as "Strand", 'ID=' || qname || ';Type=PR;Read1Seq=' || seq || ';Read2Seq=' || mate_seq as "Info", 'PR' as evidence from j""")
+@query(f"""with {MATES}, j as (select *, mate_pos + case when flag & 32 = 0 then 151 else 0 end as jpos from mated where {USABLE} and flag & 2 = 0 and flag & 8 = 0 and chrom <> mate_chrom)
+  select qname, ordinal, mate_chrom as "Chromosome", jpos - 1 as "Start", jpos as "End", 'INS' as "Var", case when flag & 32 = 0 then '+' else '-' end as "Strand", 'ID=' || qname || ';Type=PR;Read1Seq=' || seq || ';Read2Seq=' || mate_seq as "Info", 'PR' as evidence from j""")
 def junctions_discordant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return junctions.discordant(usable_reads(spark, sf_dir))
 
 
 @query(f"""with {MATES}, ex as (select *, unnest({SA}) as s from mated where {USABLE} and flag & 2 <> 0 and case when flag & 16 <> 0 then {first_n("cigar", "([0-9]+)S$")} else {first_n("cigar", "^([0-9]+)S")} end >= 20), {SPLIT_AT},
-  j as (select *, s[2]::BIGINT + case when s[3] = '+' then len(y) else 0 end as at from sp where s[1] <> chrom and s[5]::BIGINT >= 1 and s[6]::BIGINT <= 1 and len(list_intersect(x, y)) < 0.2::DOUBLE * len(x))
-  select qname, ordinal, s[1] as "Chromosome", at - 1 as "Start", at as "End", 'INS' as "Var", s[3] as "Strand", 'ID=' || qname || ';Type=PR;Read1Seq=' || seq || ';Read2Seq=' || case when chrom = mate_chrom then '.' else mate_seq end as "Info", 'SR' as evidence from j""")
+  j as (select *, s[2]::BIGINT + case when s[3] = '+' then len(y) else 0 end as jpos from sp where s[1] <> chrom and s[5]::BIGINT >= 1 and s[6]::BIGINT <= 1 and len(list_intersect(x, y)) < 0.2::DOUBLE * len(x))
+  select qname, ordinal, s[1] as "Chromosome", jpos - 1 as "Start", jpos as "End", 'INS' as "Var", s[3] as "Strand", 'ID=' || qname || ';Type=PR;Read1Seq=' || seq || ';Read2Seq=' || case when chrom = mate_chrom then '.' else mate_seq end as "Info", 'SR' as evidence from j""")
 def junctions_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return junctions.split(usable_reads(spark, sf_dir))
