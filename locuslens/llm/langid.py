@@ -81,7 +81,9 @@ def fit(rows: list[tuple[str, str]], steps: int = 120, rate: float = 8.0, ridge:
         return Model([], np.zeros((0, 1)), np.zeros((DIMENSIONS, 1), np.float32), np.zeros(1), np.ones(1))
     codes = codewords(len(languages))
     index = {lang: i for i, lang in enumerate(languages)}
-    x = np.array([features(t) for t, _ in rows], np.float32)
+    x = np.empty((len(rows), DIMENSIONS), np.float32)
+    for i, (text, _) in enumerate(rows):
+        x[i] = features(text)
     y = np.array([index[lang] for _, lang in rows])
     share = (1 / np.bincount(y, minlength=len(languages)))[y][:, None] / len(languages)
     goal = codes[y].astype(np.float32)
