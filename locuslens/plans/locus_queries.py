@@ -311,7 +311,8 @@ def control_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def control_support(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edited = allele_rows(spark, sf_dir).where("sample = 'edited' and type = 'INDEL'")
+    # only alleles that pass the other filters need the costly scores: the conditions are joined by "and"
+    edited = loci.candidate_filter(scored_rows(spark, sf_dir), least_reads=2, distance=DISTANCE).where("type = 'INDEL'")
     return control.control_support(edited, control_reads(spark, sf_dir), locus_rows(spark, sf_dir), adapters.reference(spark, sf_dir), ["locus", "pos", "ref", "alt"], WINDOW)
 
 
