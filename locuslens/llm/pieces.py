@@ -24,6 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,8 +34,10 @@ from locuslens.llm.common import small_batches, with_fields
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 UNIT = re.compile(r"\n| *[^ \n]+| +")
 BLANK, OFFSET = "▁", 2.7
+#: Steps of a path whose branches are on the agenda one by one; those of later steps share one entry.
+STEPS = 48
 #: Nodes above which a worker drops its lattice cache and starts a new one (memory only, not results).
-CACHE_NODES = 2_000_000
+CACHE_NODES = 600_000
 
 
 class Vocabulary:
@@ -70,6 +73,8 @@ class Vocabulary:
         self.codes = codes[order]
         self.code_ids = np.array(list(self.ids.values()), np.int32)[order]
         self.code_weights = np.array(list(self.weight.values()))[order]
+        self.sieve = np.zeros(1 << 20, bool)  # top bits of the codes, to pass over most substrings
+        self.sieve[(self.codes >> SIEVE_SHIFT).astype(np.int64)] = True
 
     @staticmethod
     def hash(text: str) -> int:
@@ -80,7 +85,7 @@ class Vocabulary:
         return int(value[0])
 
 
-MULTIPLIER = np.uint64(0x9FB21C651E98DF25)
+MULTIPLIER, SIEVE_SHIFT = np.uint64(0x9FB21C651E98DF25), np.uint64(44)
 
 
 def spread(x: np.ndarray) -> np.ndarray:
@@ -129,33 +134,50 @@ class Lattices:
         sizes = np.array([len(u) for u in units])
         left = np.repeat(np.cumsum(sizes), sizes) - np.arange(n)
         mixed_chars = spread(chars.astype(np.uint64))
-        gain, piece = np.full((n, longest), -np.inf), np.zeros((n, longest), np.int32)
         value, idx = np.zeros(n, np.uint64), np.arange(n)
-        for width in range(min(longest, int(sizes.max()))):
-            idx = idx[left[idx] > width]
-            value[idx] = value[idx] * MULTIPLIER + mixed_chars[idx + width]
-            at = np.minimum(np.searchsorted(v.codes, value[idx]), len(v.codes) - 1)
-            hit = v.codes[at] == value[idx]
-            gain[idx[hit], width] = v.code_weights[at[hit]]
-            piece[idx[hit], width] = v.code_ids[at[hit]]
-        bare = np.flatnonzero(np.isneginf(gain[:, 0]))
-        if len(bare):
-            c = chars[bare].astype(np.int64)
-            gain[bare, 0] = v.byte_weight * (1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF))
-            piece[bare, 0] = -1 - c
-        below, order = np.zeros(n + longest), np.argsort(left, kind="stable")
-        limits = np.searchsorted(left[order], np.arange(1, int(sizes.max()) + 2))
-        widths = np.arange(1, longest + 1)
-        for d in range(1, int(sizes.max()) + 1):
-            idx = order[limits[d - 1] : limits[d]]
-            w = min(d, longest)
-            total = gain[idx, :w] + np.where(widths[:w] == d, 0.0, below[idx[:, None] + widths[:w]])
-            top = total.max(1)
-            below[idx] = top + np.log(np.exp(total - top[:, None]).sum(1))
-            gain[idx, :w] = total - below[idx, None]
-        node, width = np.nonzero(np.isfinite(gain))
-        logs = np.minimum(gain[node, width], 0.0)
-        first = np.searchsorted(node, np.arange(n + 1))
+        found_by_width, count = [], np.zeros(n, np.int64)
+        for w in range(1, min(longest, int(sizes.max())) + 1):
+            idx = idx[left[idx] >= w]
+            value[idx] = code = value[idx] * MULTIPLIER + mixed_chars[idx + w - 1]
+            maybe = np.flatnonzero(v.sieve[(code >> SIEVE_SHIFT).astype(np.int64)])
+            at = np.minimum(np.searchsorted(v.codes, code[maybe]), len(v.codes) - 1)
+            hit = v.codes[at] == code[maybe]
+            found, ids, weights = idx[maybe[hit]], v.code_ids[at[hit]], v.code_weights[at[hit]]
+            if w == 1:  # characters without a piece are spelled in bytes
+                bare = np.ones(n, bool)
+                bare[found] = False
+                bare = np.flatnonzero(bare)
+                c = chars[bare].astype(np.int64)
+                found, ids = np.concatenate([found, bare]), np.concatenate([ids, -1 - c])
+                weights = np.concatenate([weights, v.byte_weight * (1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF))])
+            count[found] += 1
+            found_by_width.append((w, found, ids, weights))
+        # edges in order of node and width, placed by counts
+        first = np.concatenate([[0], np.cumsum(count)])
+        fill, total_edges = first[:-1].copy(), int(first[-1])
+        node, width, piece, gain = np.repeat(np.arange(n), count), np.zeros(total_edges, np.int64), np.zeros(total_edges, np.int32), np.zeros(total_edges)
+        for w, found, ids, weights in found_by_width:
+            spot = fill[found]
+            fill[found] += 1
+            width[spot], piece[spot], gain[spot] = w, ids, weights
+        # backward sums, by distance of the node to the unit's end
+        reach = left[node]
+        order = np.argsort(reach.astype(np.uint16) if reach.max() < 65536 else reach, kind="stable")
+        to = np.where(width == reach, n, node + width)[order]
+        fresh, gain_in, node_in = (order == first[node[order]]), gain[order], node[order]
+        below, logs_in = np.zeros(n + 1), np.zeros(total_edges)
+        limits = np.concatenate([[0], np.cumsum(np.bincount(reach)[1:])])
+        for lo, hi in zip(limits[:-1].tolist(), limits[1:].tolist(), strict=True):
+            total = gain_in[lo:hi] + below[to[lo:hi]]
+            starts = np.flatnonzero(fresh[lo:hi])
+            times = np.diff(np.append(starts, hi - lo))
+            top = np.maximum.reduceat(total, starts)
+            whole = top + np.log(np.add.reduceat(np.exp(total - np.repeat(top, times)), starts))
+            below[node_in[lo:hi][starts]] = whole
+            logs_in[lo:hi] = total - np.repeat(whole, times)
+        logs = np.zeros(total_edges)
+        logs[order] = np.minimum(logs_in, 0.0)
+        width -= 1
         run = np.cumsum(np.exp(logs))
         upto = run - np.concatenate([[0.0], run])[first[node]]
         upto[first[1:] - 1] = 1.0
@@ -163,7 +185,7 @@ class Lattices:
         old = len(self.logs)
         self.first = np.concatenate([self.first[:-1], (old + first).astype(np.int32)])
         self.upto, self.logs = np.concatenate([self.upto, upto]), np.concatenate([self.logs, logs])
-        self.pieces, self.after = np.concatenate([self.pieces, piece[node, width]]), np.concatenate([self.after, after.astype(np.int32)])
+        self.pieces, self.after = np.concatenate([self.pieces, piece]), np.concatenate([self.after, after.astype(np.int32)])
         self.node = np.concatenate([self.node, (self.nodes + node).astype(np.int32)])
         self.nodes += n
 
@@ -222,14 +244,24 @@ class Search:
             return False
         edges, units, scores, split, excluded = self.paths[where[0]]
         at = where[1]
-        scores[at] = -math.inf
+        first = max(split, 0)
+        if at == first + STEPS:  # the rest of the path as one subtree: its best branch inherits the score
+            mass = self._masses(edges, first, STEPS)
+            shares = np.cumsum(np.exp(mass - mass.max()))
+            chosen = int(np.searchsorted(shares / shares[-1], self._uniform(len(self.paths), 3)))
+            later = self._perturbed(mass, best, len(self.paths) + 1_000_003)
+            later[chosen] = -math.inf
+            scores = np.concatenate([scores[:at], later, np.full(1, -math.inf)])
+            self.paths[where[0]] = (edges, units, scores, split, excluded)
+            at += chosen
+        else:
+            scores[at] = -math.inf
         out = (int(edges[at]), *(excluded if at == split else ()))
         node = int(self.lattices.node[edges[at]])
         lo, hi = self.lattices.first[node : node + 2].tolist()
         options = [e for e in range(lo, hi) if e not in out]
         chance = np.exp(self.lattices.logs[options])
-        u = float(mixed(np.array([self.seed ^ (len(self.paths) * 0xD1342543DE82EF95 & 0xFFFFFFFFFFFFFFFF)], np.uint64))[0])
-        pick = options[min(int(np.searchsorted(np.cumsum(chance) / chance.sum(), u)), len(options) - 1)]
+        pick = options[min(int(np.searchsorted(np.cumsum(chance) / chance.sum(), self._uniform(len(self.paths), 1))), len(options) - 1)]
         self.prefix, self.prefix_units = np.append(edges[:at], pick), np.append(units[:at], units[at])
         self.score, self.excluded = best, out
         return True
@@ -238,25 +270,40 @@ class Search:
         """One finished segmentation: keep it and put the subtrees beside its path on the agenda."""
         split = len(self.prefix) - 1
         edges, units = np.concatenate([self.prefix, edges]), np.concatenate([self.prefix_units, units])
+        first, log_prob = max(split, 0), float(self.lattices.logs[edges].sum())
+        mass = self._masses(edges[: first + STEPS], first)
+        if split >= 0 and len(mass):
+            others = max(0.0, -math.expm1(float(self.lattices.logs[edges[split]])) - float(np.exp(self.lattices.logs[list(self.excluded)]).sum()))
+            if others == 0.0 or self._degree(int(edges[split])) <= len(self.excluded) + 1:
+                mass[0] = -math.inf
+            else:
+                mass[0] = float(self.lattices.logs[edges[:split]].sum()) + math.log(others)
+        if len(edges) > first + STEPS:  # one subtree for all later branches, split up only if it is popped
+            head = float(self.lattices.logs[edges[: first + STEPS]].sum())
+            beside = -math.expm1(min(0.0, log_prob - head))
+            mass = np.append(mass, head + math.log(beside) if beside > 0 else -math.inf)
+        scores = np.concatenate([np.full(first, -math.inf), self._perturbed(mass, self.score, len(self.paths) + 1)])
+        self.paths.append((edges, units, scores, split, self.excluded))
+        self.samples.append((edges, log_prob, self.score))
+
+    def _masses(self, edges: np.ndarray, first: int, skip: int = 0) -> np.ndarray:
+        """Log mass of the branches beside each step of a path, from step ``first + skip`` on."""
         logs = self.lattices.logs[edges]
         upto = np.concatenate([[0.0], np.cumsum(logs)])
-        from_ = max(split, 0)
-        rest = -np.expm1(logs[from_:])
-        if split >= 0:
-            rest[0] = max(0.0, rest[0] - np.exp(self.lattices.logs[list(self.excluded)]).sum())
-            if self._degree(int(edges[split])) <= len(self.excluded) + 1:
-                rest[0] = 0.0
         with np.errstate(divide="ignore"):
-            mass = upto[from_:-1] + np.log(np.where(rest > 1e-13, rest, 0.0))
-        seed = np.uint64((self.seed + (len(self.paths) + 1) * 0xA0761D6478BD642F) & 0xFFFFFFFFFFFFFFFF)
+            return upto[first + skip : -1] + np.log(-np.expm1(logs[first + skip :]))
+
+    def _perturbed(self, mass: np.ndarray, top: float, salt: int) -> np.ndarray:
+        """Gumbel variables at the masses, truncated at ``top``; empty branches get minus infinity."""
+        seed = np.uint64((self.seed + salt * 0xA0761D6478BD642F) & 0xFFFFFFFFFFFFFFFF)
         u = mixed(seed + np.arange(len(mass), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         with np.errstate(over="ignore", invalid="ignore"):
-            scores = mass - np.log(np.exp(mass - self.score) - np.log(u))
+            scores = mass - np.log(np.exp(mass - top) - np.log(u))
         scores[~np.isfinite(mass)] = -math.inf
-        full = np.full(len(edges), -math.inf)
-        full[from_:] = scores
-        self.paths.append((edges, units, full, split, self.excluded))
-        self.samples.append((edges, float(upto[-1]), self.score))
+        return scores
+
+    def _uniform(self, turn: int, salt: int) -> float:
+        return float(mixed(np.array([self.seed ^ ((turn + salt * 977) * 0xD1342543DE82EF95 & 0xFFFFFFFFFFFFFFFF)], np.uint64))[0])
 
     def _degree(self, edge: int) -> int:
         node = int(self.lattices.node[edge])
@@ -329,25 +376,45 @@ def worker_lattices(path: str, temperature: float) -> Lattices:
 
 
 @lru_cache(maxsize=2)
-def worker_bytes(path: str) -> list[bytes]:
-    return Vocabulary(path, 1.0).bytes_of
+def worker_bytes(path: str) -> pa.Array:
+    """Bytes of every piece by id."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    spelled = []
+    for i in range(model.get_piece_size()):
+        piece = model.id_to_piece(i)
+        plain = not (model.is_control(i) or model.is_unknown(i))
+        spelled.append(bytes([int(piece[3:5], 16)]) if model.is_byte(i) else piece.replace(BLANK, " ").encode() if plain else b"")
+    return pa.array(spelled, pa.binary())
+
+
+def spell(lists: pa.Array, table: pa.Array) -> list[str | None]:
+    """Texts of lists of ids, the model's leading blank removed; null for null."""
+    flat = table.take(lists.flatten())
+    sizes = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
+    ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+    joined = pc.binary_join(pa.ListArray.from_arrays(ends, flat), b"").to_pylist()
+    return [x.decode("utf-8", "replace")[1:] if valid else None for x, valid in zip(joined, lists.is_valid().to_pylist(), strict=True)]
 
 
 def encode_samples(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 2, temperature: float = 1.0, seed: int = 17, model: str = MODEL, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Up to ``k`` rows per row of ``docs``: ``key``, ``carry``, ``sample`` (1 is best), ``ids``, ``log_prob``, ``perturbed``, ``log_inclusion``."""
+    """Up to ``k`` rows per row of ``docs``: ``key``, ``carry``, ``sample`` (1 is best), ``ids``, ``log_prob``, ``perturbed``, ``log_inclusion``, ``round_trip`` (decoding ``ids`` gives the text)."""
     keep = (key, *carry)
-    schema = with_fields(docs.select(*keep).schema, "sample int, ids array<int>, log_prob double, perturbed double, log_inclusion double")
+    schema = with_fields(docs.select(*keep).schema, "sample int, ids array<int>, log_prob double, perturbed double, log_inclusion double, round_trip boolean")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattices = worker_lattices(model, temperature)
+        lattices, table = worker_lattices(model, temperature), worker_bytes(model)
         for batch in small_batches(batches, 256):
             seeds = [xxhash.xxh3_64_intdigest(repr(x), seed) for x in batch.column(0).to_pylist()]
-            found = sample_texts(batch.column(len(keep)).to_pylist(), seeds, k, lattices)
+            texts = batch.column(len(keep)).to_pylist()
+            found = sample_texts(texts, seeds, k, lattices)
             rows = [i for i, samples in enumerate(found) for _ in samples]
             flat = [(n + 1, *s) for samples in found for n, s in enumerate(samples)]
             ends = np.concatenate([[0], np.cumsum([len(f[1]) for f in flat])]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *(f[1] for f in flat)]).astype(np.int32)))
             columns = [pa.array([f[0] for f in flat], pa.int32()), ids, *(pa.array([f[c] for f in flat], pa.float64()) for c in (2, 3, 4))]
+            columns.append(pa.array([own == (texts[i] or "") for own, i in zip(spell(ids, table), rows, strict=True)], pa.bool_()))
             kept = batch.select(list(range(len(keep)))).take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays([*kept.columns, *columns], names=schema.fieldNames())
 
@@ -362,7 +429,7 @@ def decode_ids(df: DataFrame, ids: str = "ids", out: str = "decoded", model: str
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = worker_bytes(model)
         for batch in small_batches(batches):
-            texts = [None if not x.is_valid else b"".join([table[i] for i in x.values.to_numpy(zero_copy_only=False).tolist()]).decode("utf-8", "replace")[1:] for x in batch.column(at)]
+            texts = spell(batch.column(at), table)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=names)
 
     return df.mapInArrow(work, schema)
