@@ -1,9 +1,10 @@
 """Exact deduplication by deterministic block naming, in DataFrame operations only.
 
-Normalised texts are cut into blocks of a fixed number of characters. All distinct blocks are sorted and
-get their place in that order as an integer name; adjacent names of a document form pairs, the distinct
-pairs are sorted and named again, and so on until every document has one name. Equal names mean equal
-texts, without any chance of collision: block contents travel once, to be sorted, and meet their names by
+Normalised texts are cut into blocks of a fixed number of characters. Distinct blocks are dealt out by
+hash and sorted; a block's partition and its place there make its integer name. Adjacent names of a
+document form pairs, the distinct pairs are sorted and named again, and so on until every document has
+one name. Equal names mean equal
+texts, without any chance of collision: block contents travel once, to be made distinct and sorted, and meet their names by
 a 64-bit hash only where that hash belongs to one block; blocks that share a hash meet by content.
 
 Names are cut to the shared folder at every level, so retries and lost executors cannot change them.
@@ -31,8 +32,8 @@ def normalised(text: str) -> Column:
 
 
 def sorted_names(distinct: DataFrame, columns: list[str], name: str) -> DataFrame:
-    """``columns`` with ``name``, an integer that grows in the sort order of the columns."""
-    return cut(distinct.orderBy(*columns[::-1]).select(*columns, F.monotonically_increasing_id().alias("name")), name)
+    """``columns`` of distinct rows with ``name``: the partition and the place in its sort order, as one integer."""
+    return cut(distinct.sortWithinPartitions(*columns).select(*columns, F.monotonically_increasing_id().alias("name")), name)
 
 
 def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int = 4096, hash_range: int | None = None) -> DataFrame:
@@ -48,15 +49,17 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", b
     row_key = F.concat_ws(":", F.col(key).cast("string"), "sha")
 
     # level 0: distinct blocks in order; the content is dropped once it is sorted
-    blocks = whole.select(F.explode(starts).alias("i"), "norm").select(part(F.col("i")).alias("block")).groupBy("block").agg(F.first(place(F.col("block"))).alias("hash"))
-    names = cut(blocks.orderBy("block").select("hash", F.monotonically_increasing_id().alias("name")), "block-names")
+    pieces = whole.select(F.explode(starts).alias("i"), "norm").select(part(F.col("i")).alias("block"))
+    blocks = pieces.select("block", place(F.col("block")).alias("hash")).distinct()
+    names = cut(blocks.sortWithinPartitions("hash", "block").select("hash", F.monotonically_increasing_id().alias("name")), "block-names")
     once = rows.dropDuplicates([key, "sha"]).select(row_key.alias("k"), F.size("hashes").alias("n"), F.posexplode("hashes").alias("pos", "hash"))
     clashing = cut(names.groupBy("hash").agg(F.count("*").alias("c")).where("c > 1").select("hash"), "clashing-hashes")
     named = once.join(names, "hash")
     if not clashing.isEmpty():
-        rank = F.row_number().over(W.partitionBy("hash").orderBy("block"))
-        inside = blocks.join(clashing, "hash", "left_semi").select("hash", "block", rank.alias("r"))
-        ranked = names.join(clashing, "hash", "left_semi").select("hash", "name", F.row_number().over(W.partitionBy("hash").orderBy("name")).alias("r"))
+        # the i-th of the blocks that share a hash gets the i-th of their names
+        rank = lambda c: F.row_number().over(W.partitionBy("hash").orderBy(c)).alias("r")
+        inside = blocks.join(clashing, "hash", "left_semi").select("hash", "block", rank("block"))
+        ranked = names.join(clashing, "hash", "left_semi").select("hash", "name", rank("name"))
         by_content = inside.join(ranked, ["hash", "r"]).select("block", "name")
         cells = whole.select(F.concat_ws(":", F.col(key).cast("string"), F.sha2("norm", 256)).alias("k"), F.size(starts).alias("n"), F.posexplode(starts).alias("pos", "i"), "norm")
         cells = cells.select("k", "n", "pos", part(F.col("i")).alias("block")).withColumn("hash", place(F.col("block"))).join(clashing, "hash", "left_semi").dropDuplicates(["k", "pos"])
@@ -74,7 +77,7 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", b
             .agg(F.max(F.when(even, F.col("name"))).alias("left"), F.coalesce(F.max(F.when(~even, F.col("name"))), F.lit(-1)).alias("right"), F.ceil(F.first("n") / 2).cast("int").alias("n")),
             f"pairs-{level}",
         )
-        pair_names = sorted_names(pairs.select("left", "right").distinct(), ["right", "left"], f"pair-names-{level}")
+        pair_names = sorted_names(pairs.select("left", "right").distinct(), ["left", "right"], f"pair-names-{level}")
         named = cut(pairs.join(pair_names, ["left", "right"]).select("k", "n", "pos", "name"), f"names-{level}")
     identity = done[0]
     for d in done[1:]:
