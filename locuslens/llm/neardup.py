@@ -105,7 +105,7 @@ def full_sets(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
     return docs.select(key, text).mapInArrow(work, schema)
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, bands: int = 32, rows: int = 5, passes: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, bands: int = 32, rows: int = 5, passes: int = 3, broadcast_ids: int = 4_000_000) -> DataFrame:
     """``key, n_shingles, component_id, kept`` per row of ``docs``: links have Jaccard >= ``percent`` / 100.
 
     At 32 bands of 5 rows a pair at 0.85 shares no bucket with probability 7e-9.
@@ -118,7 +118,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     central = member.groupBy("rep").agg(F.sum("members").alias("central"))
     member = cut(member.select("bucket", "rep", "n").join(central, "rep"), "bucket-ranks")
     vertices = member.select(F.col("rep").alias("id")).distinct()
-    wanted = docs.select(key, text).join(vertices.withColumnRenamed("id", key), key, "left_semi").dropDuplicates([key, text])
+    # vertices are ids only: few enough to send to every task, or else joined by a shuffle of the texts
+    sought = vertices.withColumnRenamed("id", key)
+    sought = F.broadcast(sought) if vertices.count() <= broadcast_ids else sought
+    wanted = docs.select(key, text).join(sought, key, "left_semi").dropDuplicates([key, text])
     grams = cut(full_sets(wanted, key, text, width), "shingle-sets")
 
     tested = links = labels = None
