@@ -7,8 +7,11 @@ of ``rows`` bins form ``bands`` bucket keys. Documents with identical shingle se
 start. A bucket proposes a star, its most central member against the others, so pairs stay linear in
 bucket entries; stars are confirmed on the full shingle sets, confirmed links are contracted to
 components, and buckets that still hold several components propose further stars (``passes``) from a
-member outside the first hub's component. Hot buckets and hot hubs only make join partitions large,
-which adaptive execution splits; nothing collects a bucket.
+member outside the first hub's component. Stars only contract cheaply what is linked closely; a last
+step tests every pair that they left: members of buckets that still hold several components are joined
+on the rarest shingles of their sets (prefix filter, exact), and every pair of different components that
+can reach the threshold is confirmed or refused on the full sets. Hot buckets and hot hubs only make join
+partitions large, which adaptive execution splits; nothing collects a bucket.
 
 Defined results: null and blank texts have 0 shingles and are linked with nothing; fewer words than a
 shingle form one shingle; equal sets of any number are one component; null keys get a null component
@@ -105,6 +108,33 @@ def full_sets(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
     return docs.select(key, text).mapInArrow(work, schema)
 
 
+def remaining_pairs(grams: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: all pairs of different ``own`` among ``grams (id, own, grams)`` that can reach the threshold.
+
+    With the shingles in one global order, rarest first, two sets of Jaccard similarity ``percent`` / 100
+    share one of the first ``n - ceil(n percent / 100) + 1`` of each, and their first common one leaves
+    enough places behind it for the overlap they need.
+    """
+    gram = grams.select("id", "own", F.explode("grams").alias("gram"))
+    rarity = gram.groupBy("gram").agg(F.count("*").alias("holders"), (F.min("own") != F.max("own")).alias("shared"))
+    order = gram.join(rarity, "gram").groupBy("id", "own").agg(F.sort_array(F.collect_list(F.struct("holders", "gram", "shared"))).alias("o"))
+    order = order.select("id", "own", F.size("o").alias("n"), F.slice("o", 1, F.expr(f"int(size(o) - ceil(size(o) * {percent} / 100.0) + 1)")).alias("o"))
+    prefix = order.select("id", "own", "n", F.posexplode("o").alias("at", "x")).where("x.shared").select(F.col("x.gram").alias("gram"), "id", "own", "n", "at")
+    prefix = cut(prefix, "prefixes")
+    left, right = (prefix.select("gram", *(F.col(c).alias(f"{c}_{side}") for c in ("id", "own", "n", "at"))) for side in "ab")
+    room = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+    met = left.join(right, "gram").where("own_a < own_b").where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+    met = met.where((100 + percent) * room >= percent * (F.col("n_a") + F.col("n_b")))
+    return met.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
+
+
+def confirm(pairs: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs (a, b)`` whose full shingle sets reach the threshold."""
+    both = pairs.join(grams.select(F.col("id").alias("a"), F.col("grams").alias("ga")), "a").join(grams.select(F.col("id").alias("b"), F.col("grams").alias("gb")), "b")
+    joint = F.size(F.array_intersect("ga", "gb"))
+    return cut(both.where(100 * joint >= percent * (F.size("ga") + F.size("gb") - joint)).select("a", "b"), "links")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, bands: int = 32, rows: int = 5, passes: int = 3, broadcast_ids: int = 4_000_000) -> DataFrame:
     """``key, n_shingles, component_id, kept`` per row of ``docs``: links have Jaccard >= ``percent`` / 100.
 
@@ -144,13 +174,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = cut(pairs, "pairs")
         tested = pairs if tested is None else tested.union(pairs)
-        both = pairs.join(grams.select(F.col("id").alias("a"), F.col("grams").alias("ga")), "a").join(grams.select(F.col("id").alias("b"), F.col("grams").alias("gb")), "b")
-        joint = F.size(F.array_intersect("ga", "gb"))
-        confirmed = cut(both.where(100 * joint >= percent * (F.size("ga") + F.size("gb") - joint)).select("a", "b"), "links")
+        confirmed = confirm(pairs, grams, percent)
         if turn and confirmed.isEmpty():
             continue
         links = confirmed if links is None else links.union(confirmed)
         labels = connected(links, "near")
+    # what the stars left: every untested pair of different components inside a bucket
+    owned = member.select("bucket", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("bucket", "rep", F.coalesce("component", "rep").alias("own"))
+    mixed = owned.groupBy("bucket").agg(F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo != hi").select("bucket")
+    open_ = owned.join(mixed, "bucket").select(F.col("rep").alias("id"), "own").distinct()
+    pairs = cut(remaining_pairs(cut(grams.join(open_, "id").select("id", "own", "grams"), "open-sets"), percent).join(tested, ["a", "b"], "left_anti"), "remaining-pairs")
+    confirmed = confirm(pairs, grams, percent)
+    if not confirmed.isEmpty():
+        labels = connected(links.union(confirmed), "near")
     placed = sketch.drop("bands").join(reps.select("set_key", "rep"), "set_key", "left").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
     component = F.coalesce("component", "rep", key)
     return placed.select(key, "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col(key)).alias("kept"))
