@@ -99,9 +99,16 @@ def allele_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify.count_alleles(classify.collapse_fragments(class_rows(spark, sf_dir)))
 
 
-def scored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def distant_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     edited = allele_rows(spark, sf_dir).where("sample = 'edited'")
-    return loci.with_distance(edited, locus_rows(spark, sf_dir)).withColumn("control_alt", F.lit(0).cast("bigint"))
+    return loci.with_distance(edited, locus_rows(spark, sf_dir))
+
+
+def filtered_rows(spark: SparkSession, sf_dir: str, least_reads: int = 1) -> DataFrame:
+    """Edited alleles that pass all filters, scored in the control; as the filters are joined by "and", those that another one drops need no score."""
+    others = loci.candidate_filter(distant_rows(spark, sf_dir).withColumn("control_alt", F.lit(0)), least_reads, distance=DISTANCE).drop("control_alt")
+    scored = control.with_control_alt(others, control_reads(spark, sf_dir), locus_rows(spark, sf_dir), adapters.reference(spark, sf_dir), WINDOW)
+    return loci.candidate_filter(scored, least_reads, distance=DISTANCE)
 
 
 def control_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -272,12 +279,12 @@ def allele_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"with {DISTANCES} select locus, pos, ref, alt, type, chrom2, pos2, strands, counts, distance from far where sample = 'edited'")
 def site_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scored_rows(spark, sf_dir).select("locus", "pos", "ref", "alt", "type", "chrom2", "pos2", "strands", "counts", "distance")
+    return distant_rows(spark, sf_dir).select("locus", "pos", "ref", "alt", "type", "chrom2", "pos2", "strands", "counts", "distance")
 
 
 @query(f"with {DISTANCES} select locus, pos, ref, alt, type, counts, distance from far where sample = 'edited' and ((counts >= 2 and coalesce(distance <= 25, false)) or ref = '.')")
 def candidate_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return loci.candidate_filter(scored_rows(spark, sf_dir), least_reads=2).select("locus", "pos", "ref", "alt", "type", "counts", "distance")
+    return filtered_rows(spark, sf_dir, least_reads=2).select("locus", "pos", "ref", "alt", "type", "counts", "distance")
 
 
 @query(f"with {ALLELES} select sample, locus, pos, ref, alt, counts from (select * replace (case when counts % 2 = 0 then 'N' || alt else alt end as alt) from alleles) where not contains(alt, 'N')")
@@ -325,7 +332,7 @@ def control_support(spark: SparkSession, sf_dir: str) -> DataFrame:
   from loci left join agg using (locus) left join depth using (locus)""")
 def locus_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     sites = locus_rows(spark, sf_dir)
-    alleles = loci.drop_ambiguous(loci.candidate_filter(scored_rows(spark, sf_dir), distance=DISTANCE))
+    alleles = loci.drop_ambiguous(filtered_rows(spark, sf_dir))
     return loci.locus_report(alleles, sites, loci.control_depth(control_reads(spark, sf_dir), sites, WINDOW))
 
 

@@ -28,5 +28,15 @@ def small(spark, monkeypatch):
     return spark
 
 
+def test_alleles_of_the_control_leave_the_report(small):
+    row = locus_queries.locus_report(small, "").first()
+    assert (row.total_reads, row.indel_reads, row.indel_count, row.control_reads) == (8, 1, 1, 2)
+    assert row.indel_info.startswith("chr1:311:") and row.indel_info.endswith(":1:0:6")
+
+
+def test_candidates_are_not_in_the_control(small):
+    assert [r.type for r in locus_queries.candidate_filter(small, "").collect()] == ["REF"]
+
+
 def test_support_of_every_indel_allele(small):
     assert {r.pos: r.control_alt for r in locus_queries.control_support(small, "").collect()} == {301: 1, 311: 0, 371: 1}
