@@ -2,12 +2,13 @@
 
 Language identification (documents without a known language go), exact deduplication, near-duplicate
 removal (one document of each group stays), mixing to target weights (each document appears as often as
-the mix takes it, rounded to whole copies), and sampled SentencePiece segmentations of what is left.
+the mix takes it, in whole copies whose words meet the targets), and sampled SentencePiece segmentations of what is left.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from locuslens.llm import exactdup, langid, mix, neardup
@@ -15,6 +16,9 @@ from locuslens.llm.common import cut
 from locuslens.llm.queries import segmentations
 from locuslens.session import table
 
+#: A whole copy, in the integer units in which remainders add up.
+UNIT = 1 << 24
+
 #: The language stage rejects by a learned model, which SQL cannot express.
 ORACLE_SQL = None
 
@@ -42,10 +46,18 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows repeated as often as the mix takes them (words taken over size, rounded); texts without words go."""
-    mixed = mix.mix_documents(docs)
-    times = F.round(F.col("taken") / F.col("size")).cast("int")
-    taken = mixed.where("size > 0").select(F.col("doc_id").alias("_id"), times.alias("_times")).where("_times > 0").dropDuplicates(["_id"])
+    """Rows repeated as often as the mix takes them, without bias; texts without words go.
+
+    Each row has ``taken div size`` copies; the remainders give one more to a systematic sample of a
+    shard's rows in order of size, so that the words of a shard miss what it takes by about one document.
+    """
+    mixed = mix.mix_documents(docs).where("size > 0").withColumn("_rest", F.expr(f"(taken % size) * {UNIT}L div size"))
+    place = ("source", "shard")
+    start = mix.hash32(F.concat_ws(":", F.lit("mix-copies"), *(F.col(c).cast("string") for c in place))) % UNIT
+    upto = F.sum("_rest").over(W.partitionBy(*place).orderBy("size", F.xxhash64(F.col("doc_id").cast("string")), "doc_id", "taken").rowsBetween(W.unboundedPreceding, 0)) + start
+    one = (F.floor(upto / UNIT) - F.floor((upto - F.col("_rest")) / UNIT)).cast("int")
+    times = (F.expr("int(taken div size)") + one).cast("int")
+    taken = mixed.select(F.col("doc_id").alias("_id"), times.alias("_times")).where("_times > 0").dropDuplicates(["_id"])
     joined = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")))
     return joined.select(*docs.columns, F.explode(F.sequence(F.lit(1), "_times")).alias("_copy")).drop("_copy")
 
