@@ -24,10 +24,10 @@ ORACLE_SQL = None
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows whose language is recognised; texts without letters, and null texts, go. Every column passes through."""
-    model = langid.fit(langid.training_rows(docs, ~langid.held_out()))
+    """Rows whose language is recognised; texts far from every learned language or without letters, and null texts, go. Every column passes through."""
+    model = langid.fit(learned := langid.training_rows(docs, ~langid.held_out()))
     packed = docs.select("doc_id", "text", F.struct(*(F.col(c) for c in docs.columns)).alias("row"))
-    known = langid.identify(packed, model, carry=("row",)).where(F.col("lang_pred") != langid.UNKNOWN)
+    known = langid.identify(packed, model, carry=("row",), limit=langid.loss_limit(learned, model)).where(F.col("lang_pred") != langid.UNKNOWN)
     return known.select("row.*")
 
 

@@ -109,6 +109,17 @@ def decode(margins: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray, n
     return best, score, gap
 
 
+def least_loss(margins: np.ndarray, model: Model) -> np.ndarray:
+    """Loss of each text to its nearest codeword."""
+    return (np.logaddexp(0, -margins[:, None, :] * model.codes[None]) * model.trust).sum(2).min(1) * model.codes.shape[1]
+
+
+def loss_limit(rows: list[tuple[str, str]], model: Model) -> float:
+    """Twice the largest loss of a labelled row, at least a quarter of that of a text that says nothing to any bit."""
+    losses = [least_loss((features(text).astype(np.float32) @ model.weights + model.bias)[None], model)[0] for text, _ in rows]
+    return max([0.25 * np.log(2) * model.codes.shape[1], *(2 * x for x in losses)])
+
+
 def training_rows(docs: DataFrame, usable: Column, key: str = "doc_id", text: str = "text", label: str = "lang", per_language: int = 400, seed: int = 7) -> list[tuple[str, str]]:
     """At most ``per_language`` labelled texts of each language that satisfy ``usable``, by seeded hash."""
     order = W.partitionBy(label).orderBy(F.xxhash64(F.col(key).cast("string"), F.lit(seed)), key)
@@ -119,8 +130,8 @@ def training_rows(docs: DataFrame, usable: Column, key: str = "doc_id", text: st
     return rows
 
 
-def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", gap: float = 0.15, carry: tuple[str, ...] = ()) -> DataFrame:
-    """``key``, ``carry`` columns, ``lang_pred``, ``score`` and ``ambiguous`` for every row of ``docs``."""
+def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", gap: float = 0.15, carry: tuple[str, ...] = (), limit: float | None = None) -> DataFrame:
+    """``key``, ``carry`` columns, ``lang_pred``, ``score`` and ``ambiguous`` for every row of ``docs``; ``und`` beyond a loss of ``limit``."""
     keep = (key, *carry)
     schema = with_fields(docs.select(*keep).schema, "lang_pred string, score double, ambiguous boolean")
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -136,6 +147,9 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
                 best, score, apart = decode(margins, own)
                 for i, b, s, a in zip(known, best, score, apart, strict=True):
                     names[i], scores[i], flags[i] = own.languages[b], float(min(1.0, s)), bool(a < gap)
+                if limit is not None:
+                    for i, far in zip(known, least_loss(margins, own) > limit, strict=True):
+                        names[i], scores[i] = (UNKNOWN, 0.0) if far else (names[i], scores[i])
             columns = [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(flags, pa.bool_())]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *columns], names=[*keep, "lang_pred", "score", "ambiguous"])
 
