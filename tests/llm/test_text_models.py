@@ -108,8 +108,7 @@ def test_samples_without_replacement(lattices, monkeypatch, steps):
     chance = {ids: math.exp(w - norm) for ids, w in product}
     assert len(chance) == len(product)
     first, pairs, mass = {}, {}, 0.0
-    for i in range(n):
-        a, b, c = pieces.sample_texts([text], [xxhash.xxh3_64_intdigest(str(i))], 3, lattices)[0]
+    for a, b, c in pieces.sample_texts([text] * n, [xxhash.xxh3_64_intdigest(str(i)) for i in range(n)], 3, lattices):
         ids = [tuple(x[0].tolist()) for x in (a, b, c)]
         assert len(set(ids)) == 3 and a[2] > b[2] > c[2]
         for x, own in zip((a, b, c), ids, strict=True):
@@ -124,6 +123,21 @@ def test_samples_without_replacement(lattices, monkeypatch, steps):
     assert abs(mass - 1) < 0.05  # inclusion scores weigh the sample without bias
 
 
+def test_lattice_cache(lattices, monkeypatch):
+    r = random.Random(6)
+    texts = [" ".join("".join(r.choice("abcdeé\n") for _ in range(r.randint(1, 9))) for _ in range(r.randint(1, 60))) for _ in range(40)]
+    same = lambda xs, ys: all(np.array_equal(a[0], b[0]) and a[1:] == b[1:] for x, y in zip(xs, ys, strict=True) for a, b in zip(x, y, strict=True))
+    want = pieces.sample_texts(texts, list(range(40)), 2, lattices)
+    monkeypatch.setattr(pieces, "CACHE_NODES", 300)
+    monkeypatch.setattr(pieces, "PART", 50)
+    small = pieces.Lattices(lattices.vocabulary)  # thinned out again and again, a few characters at a time
+    for _ in range(3):
+        assert same(want, [pieces.sample_texts([t], [i], 2, small)[0] for i, t in enumerate(texts)])
+    clash = pieces.Lattices(lattices.vocabulary)
+    clash.power = np.zeros(100, np.uint64)  # all units of one length share a hash
+    assert same(want, pieces.sample_texts(texts, list(range(40)), 2, clash))
+
+
 def test_pieces_round_trip(odd, make):
     drawn = pieces.decode_ids(pieces.encode_samples(odd, k=3, carry=("text",))).collect()
     assert {r.doc_id for r in drawn} == {r.doc_id for r in odd.collect()}
