@@ -106,7 +106,7 @@ def reference(spark: SparkSession, sf_dir: str, reach: int = 600) -> DataFrame:
         (select chrom, explode(sequence(cast(greatest(0, floor((start - {reach}) / 32)) as bigint), cast(floor((start + {reach}) / 32) as bigint))) as chunk from {{sites}}) c""",
         sites=view(spark, sf_dir, "sites"),
     )
-    return intervals.reference_tiles(chunks, reach=2048)
+    return intervals.reference_tiles(chunks)
 
 
 def duck_slice(chrom: str, start: str, end: str) -> str:

@@ -49,10 +49,17 @@ def aligned_overlap(reads: DataFrame) -> DataFrame:
     return spans.select("qname", "ordinal", "n", dna.range_total(F.col("x")).alias("aligned"), dna.range_total(F.col("y")).alias("sa_aligned"), dna.range_overlap(F.col("x"), F.col("y")).alias("both"))
 
 
-def join_mates(reads: DataFrame) -> DataFrame:
-    """Primary reads with the sequence of their mate, ``.`` where it is missing."""
-    own = reads.where(~dna.has_flag(dna.SECONDARY | dna.SUPPLEMENTARY))
-    mates = own.select("sample", "qname", dna.has_flag(dna.FIRST).alias("_first"), F.col("seq").alias("mate_seq"), F.col("ordinal").alias("_o"))
-    mates = mates.groupBy("sample", "qname", "_first").agg(F.min_by("mate_seq", "_o").alias("mate_seq"))
-    own = own.withColumn("_first", ~dna.has_flag(dna.FIRST))
-    return own.join(mates, ["sample", "qname", "_first"], "left").drop("_first").withColumn("mate_seq", F.coalesce("mate_seq", F.lit(".")))
+def join_mates(reads: DataFrame, mates: DataFrame | None = None) -> DataFrame:
+    """Primary reads with the sequence of their mate, ``.`` where it is missing.
+
+    ``mates`` holds all reads, where ``reads`` are a selection: mates of other reads are dropped before
+    their sequences are aggregated.
+    """
+    primary = ~dna.has_flag(dna.SECONDARY | dna.SUPPLEMENTARY)
+    own = reads.where(primary).withColumn("_first", ~dna.has_flag(dna.FIRST))
+    keys = ["sample", "qname", "_first"]
+    others = (reads if mates is None else mates).where(primary).select("sample", "qname", dna.has_flag(dna.FIRST).alias("_first"), "seq", "ordinal")
+    if mates is not None:
+        others = others.join(own.select(*keys).distinct(), keys, "left_semi")
+    found = others.groupBy(*keys).agg(F.min(F.struct("ordinal", "seq"))["seq"].alias("mate_seq"))
+    return own.join(found, keys, "left").drop("_first").withColumn("mate_seq", F.coalesce("mate_seq", F.lit(".")))

@@ -101,8 +101,6 @@ def classify(pairs: DataFrame, reference: DataFrame, window: int = 100, distance
     single_d = (F.col("e_ops") == 1) & F.col("event").rlike("[DN]$")
     kind = F.when(F.col("is_event"), F.when(single_i, "I").when(single_d, "D").otherwise("C"))
     own = settle(own.withColumn("kind", kind))
-    own = own.withColumns({"ref_from": F.when(F.col("kind") == "I", F.col("e_pos") - 2).when(F.col("kind").isNotNull(), F.col("e_pos") - 1), "ref_to": F.when(F.col("kind") == "I", F.col("e_pos") - 1).when(F.col("kind").isNotNull(), F.col("e_pos") + F.col("e_all"))})
-    own = intervals.fetch_sequence(own, reference, "chrom", "ref_from", "ref_to", "ref_bases")
     # breakends: trim the overlap of the two parts, then test distance and order
     p_query = dna.op_total(F.col("core"), "MI")
     trim = F.greatest(F.lit(0), p_query + F.col("s_query") - F.length("seq"))
@@ -125,22 +123,30 @@ def classify(pairs: DataFrame, reference: DataFrame, window: int = 100, distance
     own = own.withColumn("type", kind_of).where("type is not null")
     by_type = lambda indel, bnd, ref: F.when(F.col("type") == "INDEL", indel).when(F.col("type") == "BND", bnd).otherwise(ref)
     query = lambda a, n: F.substring("seq", a.cast("int"), n.cast("int"))
-    alt = F.when(F.col("kind") == "I", query(F.col("e_query"), F.col("e_all") + 1)).when(F.col("kind") == "D", F.substring("ref_bases", 1, 1)).otherwise(query(F.col("e_query") + 2, F.greatest(F.lit(0), dna.op_total(F.col("event"), "MI") - 1)))
+    # bases of the read that replace the reference; a deletion keeps the first reference base instead
+    own_bases = F.when(F.col("kind") == "I", query(F.col("e_query"), F.col("e_all") + 1)).when(F.col("kind") == "C", query(F.col("e_query") + 2, F.greatest(F.lit(0), dna.op_total(F.col("event"), "MI") - 1)))
     odd = F.col("pattern").isin(1, 3)
     pos = by_type(F.col("e_pos"), F.when(odd, F.col("end1")).otherwise(F.col("start1") - 1), F.col("locus_start"))
     pos2 = F.when(F.col("pattern") == 1, F.col("s_pos")).when(F.col("pattern") == 2, F.col("s_end") + 1).when(F.col("pattern") == 3, F.col("s_end")).when(F.col("pattern") == 4, F.col("s_pos"))
-    none, empty = F.lit(None).cast("string"), F.lit("")
-    return own.select(
-        *KEY, "chrom", pos.alias("pos"), by_type(none, F.col("s")["chrom"], none).alias("chrom2"), by_type(F.lit(None).cast("bigint"), pos2, F.lit(None).cast("bigint")).alias("pos2"),
-        by_type(F.lit("++"), F.when(same, "++").otherwise("+-"), empty).alias("strands"), by_type(F.col("ref_bases"), empty, F.lit(".")).alias("ref"), by_type(alt, empty, F.lit(".")).alias("alt"), "type",
+    none, empty, number = F.lit(None).cast("string"), F.lit(""), F.lit(None).cast("bigint")
+    from_, to = F.when(F.col("kind") == "I", F.col("e_pos") - 2).when(F.col("kind").isNotNull(), F.col("e_pos") - 1), F.when(F.col("kind") == "I", F.col("e_pos") - 1).when(F.col("kind").isNotNull(), F.col("e_pos") + F.col("e_all"))
+    narrow = own.select(
+        *KEY, "chrom", pos.alias("pos"), by_type(none, F.col("s")["chrom"], none).alias("chrom2"), by_type(number, pos2, number).alias("pos2"),
+        by_type(F.lit("++"), F.when(same, "++").otherwise("+-"), empty).alias("strands"), "type", "kind", own_bases.alias("own_bases"), from_.alias("ref_from"), to.alias("ref_to"),
     )
+    # only these columns travel to the reference
+    found = intervals.fetch_sequence(settle(narrow), reference, "chrom", "ref_from", "ref_to", "ref_bases")
+    alt = F.when(F.col("kind") == "D", F.substring("ref_bases", 1, 1)).otherwise(F.col("own_bases"))
+    return found.select(*KEY, "chrom", "pos", "chrom2", "pos2", "strands", by_type(F.col("ref_bases"), empty, F.lit(".")).alias("ref"), by_type(alt, empty, F.lit(".")).alias("alt"), "type")
 
 
 def collapse_fragments(records: DataFrame) -> DataFrame:
-    """One record per sample, locus and read name: INDEL before BND before REF, ties by ordinal, and per
-    column the first value that is not null in that order."""
+    """One record per sample, locus and read name: INDEL before BND before REF, ties by ordinal and then by the
+    record itself, and per column the first value that is not null in that order."""
     rank = F.when(F.col("type") == "INDEL", 0).when(F.col("type") == "BND", 1).otherwise(2)
-    order = F.struct(rank.alias("r"), "ordinal")
+    known = lambda c, value="": F.coalesce(c, F.lit(value)).alias(c)
+    # a total order of records, so that equal ordinals cannot make the result depend on the order of rows
+    order = F.struct(rank.alias("r"), "ordinal", "pos", known("chrom2"), known("pos2", -1), "strands", known("ref"), known("alt"))
     first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), order)).alias(c)
     return records.groupBy("sample", "locus", "qname").agg(*(first(c) for c in ("chrom", "pos", "chrom2", "pos2", "strands", "ref", "alt", "type")))
 

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from locuslens.operators import intervals
 
-WINDOW, LEAST, GRID, APART = 500_000, 21, 1000, 10
+WINDOW, LEAST, GRID, APART, LIST = 500_000, 21, 1000, 10, 4096
 
 
 def tiles(vaf: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -25,16 +23,19 @@ def tile_stats(vaf: DataFrame, size: int = WINDOW) -> DataFrame:
 def densities(vaf: DataFrame, size: int = WINDOW, grid: int = GRID) -> DataFrame:
     """Gaussian kernel density (Scott's bandwidth) of each tile on ``grid`` points over [0, 1].
 
-    Equal scores are counted first, so the sum runs over distinct values; tiles with too few or constant
-    values have none. Rows: chrom, tile, array of densities by grid index.
+    Equal scores are counted first and dealt into lists of about ``LIST`` distinct values; each list gives
+    one partial sum per grid point, so ``grid`` rows a list are shuffled rather than ``grid`` rows a value.
+    Tiles with too few or constant values have none. Rows: chrom, tile, g, density.
     """
     own = tiles(vaf, size)
     values = own.groupBy("chrom", "tile", "score").agg(F.count("*").alias("times"))
-    stats = tile_stats(vaf, size).where((F.col("n") >= LEAST) & (F.col("sd") > 0)).withColumn("h", F.col("sd") * F.pow("n", F.lit(-0.2)))
-    met = values.join(stats, ["chrom", "tile"])
-    spots = met.select("chrom", "tile", "score", "times", "h", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("g"))
-    kernel = F.sum(F.col("times") * F.exp(-0.5 * F.pow((F.col("g") / (grid - 1) - F.col("score")) / F.col("h"), F.lit(2.0))))
-    return spots.groupBy("chrom", "tile", "g").agg(kernel.alias("density"))
+    stats = tile_stats(vaf, size).where((F.col("n") >= LEAST) & (F.col("sd") > 0))
+    stats = stats.select("chrom", "tile", (F.col("sd") * F.pow("n", F.lit(-0.2))).alias("h"), F.ceil(F.col("n") / LIST).alias("lists"))
+    dealt = values.join(stats, ["chrom", "tile"]).withColumn("part", F.pmod(F.xxhash64("score"), F.col("lists")))
+    lists = dealt.groupBy("chrom", "tile", "part", "h").agg(F.collect_list(F.struct("score", "times")).alias("v"))
+    kernel = lambda g, x: x.times * F.exp(-0.5 * F.pow((g / (grid - 1) - x.score) / F.col("h"), F.lit(2.0)))
+    sums = F.transform(F.sequence(F.lit(0), F.lit(grid - 1)), lambda g: F.aggregate("v", F.lit(0.0), lambda total, x: total + kernel(g, x)))
+    return lists.select("chrom", "tile", F.posexplode(sums).alias("g", "d")).groupBy("chrom", "tile", "g").agg(F.sum("d").alias("density"))
 
 
 def raw_modes(density: DataFrame) -> DataFrame:
@@ -46,17 +47,12 @@ def raw_modes(density: DataFrame) -> DataFrame:
 
 
 def modes(density: DataFrame, apart: int = APART, grid: int = GRID) -> DataFrame:
-    """Modes at least ``apart`` grid points from any higher one, as text per tile: at most ``grid`` rows a group."""
-
-    def suppress(frame: pd.DataFrame) -> pd.DataFrame:
-        kept: list[int] = []
-        for g in frame.sort_values(["d", "g"], ascending=[False, True]).g:
-            if all(abs(int(g) - k) >= apart for k in kept):
-                kept.append(int(g))
-        text = ",".join(str(round(k / (grid - 1), 4)) for k in sorted(kept))
-        return pd.DataFrame({"chrom": [frame.chrom.iloc[0]], "tile": [frame.tile.iloc[0]], "modes": [text]})
-
-    return raw_modes(density).groupBy("chrom", "tile").applyInPandas(suppress, "chrom string, tile bigint, modes string")
+    """Modes at least ``apart`` grid points from any higher one, as text per tile: at most ``grid`` / 2 of a tile meet."""
+    ranked = raw_modes(density).groupBy("chrom", "tile").agg(F.array_sort(F.collect_list(F.struct((-F.col("d")).alias("d"), "g"))).alias("m"))
+    near = lambda kept, x: F.exists(kept, lambda k: F.abs(k - x.g) < apart)
+    kept = F.aggregate("m", F.array().cast("array<bigint>"), lambda kept, x: F.when(near(kept, x), kept).otherwise(F.concat(kept, F.array(x.g))))
+    text = F.transform(F.sort_array(kept), lambda k: F.round(k / (grid - 1), 4).cast("string"))
+    return ranked.select("chrom", "tile", F.array_join(text, ",").alias("modes"))
 
 
 def window_coverage(windows: DataFrame, coverage: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -67,8 +63,13 @@ def window_coverage(windows: DataFrame, coverage: DataFrame, size: int = WINDOW)
 
 
 def cnv_track(vaf: DataFrame, coverage: DataFrame, size: int = WINDOW) -> DataFrame:
-    """Chromosome, Start, End, VAF (modes, null for tiles without), NormalizedCoverage per window."""
+    """index, Chromosome, Start, End, VAF (modes, null for tiles without), NormalizedCoverage per window; ``index`` counts them by place."""
     found = modes(densities(vaf, size))
     windows = tiles(vaf, size).select("chrom", "tile").distinct().join(found, ["chrom", "tile"], "left")
     track = window_coverage(windows, coverage, size)
-    return track.select(F.col("chrom").alias("Chromosome"), F.col("tile").alias("Start"), (F.col("tile") + size).alias("End"), F.col("modes").alias("VAF"), F.col("coverage").alias("NormalizedCoverage"))
+    # windows are numbered inside a chromosome, and chromosomes by their counts
+    inside = F.row_number().over(W.partitionBy("chrom").orderBy("tile"))
+    counts = track.groupBy("chrom").agg(F.count("*").alias("n"))
+    before = counts.select("chrom", F.coalesce(F.sum("n").over(W.orderBy("chrom").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    placed = track.withColumn("inside", inside).join(before, "chrom")
+    return placed.select((F.col("before") + F.col("inside") - 1).alias("index"), F.col("chrom").alias("Chromosome"), F.col("tile").alias("Start"), (F.col("tile") + size).alias("End"), F.col("modes").alias("VAF"), F.col("coverage").alias("NormalizedCoverage"))

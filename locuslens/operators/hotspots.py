@@ -14,15 +14,17 @@ def site_windows(sites: DataFrame, window: int = 200) -> DataFrame:
 
 
 def positions(windows: DataFrame, reference: DataFrame) -> DataFrame:
-    """Every position of the merged windows, both ends included, with its reference base.
+    """Every position of the merged windows, both ends included, with its reference base; null where it is not covered.
 
-    Bases come from the reference tiles by one lookup per merged window.
+    Windows are cut at the borders of reference tiles, so a window may be of any length.
     """
-    merged = intervals.merge(windows).withColumns({"a": F.greatest(F.lit(0), F.col("start") - 1), "b": F.col("end")})
-    found = intervals.fetch_sequence(merged, reference, "chrom", "a", "b", "bases")
-    listed = found.select("chrom", "a", "bases", F.explode(F.sequence("start", "end")).alias("pos"))
-    base = F.nullif(F.substring("bases", (F.col("pos") - F.col("a")).cast("int"), F.lit(1)), F.lit(""))
-    return listed.select("chrom", "pos", base.alias("base"), F.lit("N").alias("alt"))
+    size = intervals.TILE
+    last = lambda c: F.greatest(F.lit(0), F.col(c) - 1)
+    merged = intervals.merge(windows).select("*", F.explode(F.sequence(F.floor(last("start") / size), F.floor(last("end") / size))).alias("tile"))
+    listed = merged.select("chrom", "tile", F.greatest("start", F.when(F.col("tile") > 0, F.col("tile") * size + 1).otherwise(F.lit(0))).alias("a"), F.least("end", (F.col("tile") + 1) * size).alias("b"))
+    met = listed.join(reference, ["chrom", "tile"], "left").select("chrom", "tile", "bases", F.explode(F.sequence("a", "b")).alias("pos"))
+    base = F.when(F.col("pos") > 0, F.nullif(F.substring("bases", (F.col("pos") - F.col("tile") * size).cast("int"), F.lit(1)), F.lit("")))
+    return met.select("chrom", "pos", base.alias("base"), F.lit("N").alias("alt"))
 
 
 def vcf_lines(found: DataFrame) -> DataFrame:

@@ -17,21 +17,14 @@ def _bins(start: Column, end: Column, width: int) -> Column:
     return F.sequence(F.floor(start / width), F.greatest(F.floor(start / width), F.floor((end - 1) / width)))
 
 
-def overlap_join(left: DataFrame, right: DataFrame, left_on: tuple[str, str, str], right_on: tuple[str, str, str], width: int = 4096, how: str = "inner") -> DataFrame:
-    """All pairs whose intervals share a base; column names of both sides must differ.
-
-    ``how='left'`` keeps unmatched left rows; they must be told apart by the left columns.
-    """
+def overlap_join(left: DataFrame, right: DataFrame, left_on: tuple[str, str, str], right_on: tuple[str, str, str], width: int = 4096) -> DataFrame:
+    """All pairs whose intervals share a base; column names of both sides must differ."""
     (lc, ls, le), (rc, rs, re_) = left_on, right_on
     a = left.select("*", F.explode(_bins(F.col(ls), F.col(le), width)).alias("_bin"))
     b = right.select("*", F.explode(_bins(F.col(rs), F.col(re_), width)).alias("_bin2"))
     first = F.greatest(F.floor(F.col(ls) / width), F.floor(F.col(rs) / width))
     hit = (F.col(lc) == F.col(rc)) & (F.col("_bin") == F.col("_bin2")) & (F.col(ls) < F.col(re_)) & (F.col(rs) < F.col(le)) & (F.col("_bin") == first)
-    pairs = a.join(b, hit).drop("_bin", "_bin2")
-    if how == "inner":
-        return pairs
-    rest = left.join(pairs.select(*left.columns).distinct(), left.columns, "left_anti")
-    return pairs.unionByName(rest, allowMissingColumns=True)
+    return a.join(b, hit).drop("_bin", "_bin2")
 
 
 def cluster(df: DataFrame, chrom: str = "chrom", start: str = "start", end: str = "end", slack: int = 0, out: str = "cluster", width: int = 1 << 20) -> DataFrame:
@@ -58,31 +51,38 @@ def tile(end: Column, size: int) -> Column:
     return (F.floor((end - 1) / size) * size).cast("bigint")
 
 
-#: Bases from one reference tile to the next.
-TILE = 16384
+#: Bases of a reference tile, and rows without a slice are dealt over so many join keys.
+TILE, SPREAD = 4096, 4096
 
 
-def reference_tiles(chunks: DataFrame, reach: int = 131_072, chunk: int = 32) -> DataFrame:
-    """``(chrom, tile, bases)``: bytes from every ``TILE``-th position on, ``reach`` bases past the next one.
+def reference_tiles(chunks: DataFrame, chunk: int = 32) -> DataFrame:
+    """``(chrom, tile, bases)``: the bases from position ``tile * TILE`` on, up to the last known one of the tile.
 
-    ``chunks`` are ``(chrom, chunk, bases)`` pieces of ``chunk`` bases; lacking ones read ``N``. Tiles
-    overlap so that any slice of up to ``reach`` bases lies in one tile: a lookup is one equi join.
+    ``chunks`` are ``(chrom, chunk, bases)`` pieces of ``chunk`` bases; lacking ones read ``N``.
     """
-    at = F.col("chunk") * chunk
-    tiles = F.sequence(F.greatest(F.lit(0), F.ceil((at - TILE - reach + 1) / TILE)).cast("bigint"), F.floor(at / TILE))
-    parts = chunks.select("chrom", "chunk", "bases", F.explode(tiles).alias("tile"))
-    held = parts.groupBy("chrom", "tile").agg(F.map_from_entries(F.collect_list(F.struct("chunk", "bases"))).alias("m"), F.max("chunk").alias("last"))
-    first = (F.col("tile") * (TILE // chunk)).cast("bigint")
-    text = F.array_join(F.transform(F.sequence(first, F.col("last")), lambda k: F.coalesce(F.col("m")[k], F.lit("N" * chunk))), "")
-    return held.select("chrom", "tile", text.cast("binary").alias("bases"))
+    tile = F.floor(F.col("chunk") * chunk / TILE).alias("tile")
+    held = chunks.groupBy("chrom", tile).agg(F.array_sort(F.collect_list(F.struct("chunk", "bases"))).alias("parts"))
+    padded = F.transform("parts", lambda x, i: F.concat(F.repeat(F.lit("N"), ((x.chunk - F.when(i == 0, F.col("tile") * (TILE // chunk) - 1).otherwise(F.get("parts.chunk", i - 1)) - 1) * chunk).cast("int")), x.bases))
+    return held.select("chrom", "tile", F.array_join(padded, "").alias("bases"))
 
 
 def fetch_sequence(df: DataFrame, tiles: DataFrame, chrom: str, start: str, end: str, out: str) -> DataFrame:
-    """``df`` with ``out``: reference bases of ``[start, end)``, 0-based; null for null, negative or uncovered slices."""
-    wanted = df.withColumn("_tile", F.when((F.col(start) >= 0) & (F.col(end) > F.col(start)), F.floor(F.col(start) / TILE)))
-    known = tiles.select(F.col("chrom").alias("_c"), F.col("tile").alias("_t"), F.col("bases").alias("_bases"))
-    met = wanted.join(known, (F.col(chrom) == F.col("_c")) & (F.col("_tile") == F.col("_t")), "left")
-    offset, size = (F.col(start) - F.col("_tile") * TILE).cast("int"), (F.col(end) - F.col(start)).cast("int")
-    # slices of bytes, which need no walk over the characters before them
-    cut = F.substring("_bases", offset + 1, size).cast("string")
-    return met.withColumn(out, F.when(offset + size <= F.octet_length("_bases"), cut)).drop("_tile", "_c", "_t", "_bases")
+    """``df`` with ``out``: reference bases of ``[start, end)``, 0-based; null for null, empty, negative or uncovered slices.
+
+    Distinct slices are cut at tile borders, looked up by one equi join and put together again, so a slice
+    may be of any length; rows then meet their slice by its place. Rows without a slice are dealt over many
+    join keys, so that none holds them all.
+    """
+    valid = (F.col(start) >= 0) & (F.col(end) > F.col(start))
+    asked = df.where(valid).select(F.col(chrom).alias("_c"), F.col(start).alias("_s"), F.col(end).alias("_e")).distinct()
+    parts = asked.select("*", F.explode(F.sequence(F.floor(F.col("_s") / TILE), F.floor((F.col("_e") - 1) / TILE))).alias("_t"))
+    known = tiles.select(F.col("chrom").alias("_kc"), F.col("tile").alias("_kt"), "bases")
+    met = parts.join(known, (F.col("_c") == F.col("_kc")) & (F.col("_t") == F.col("_kt")))
+    a = F.greatest(F.col("_s") - F.col("_t") * TILE, F.lit(0))
+    size = F.least(F.col("_e") - F.col("_t") * TILE, F.lit(TILE)) - a
+    pieces = met.select("_c", "_s", "_e", "_t", F.substring("bases", (a + 1).cast("int"), size.cast("int")).alias("_p"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_t", "_p"))), lambda x: x._p), "")
+    slices = pieces.groupBy("_c", "_s", "_e").agg(text.alias(out)).where(F.length(out) == F.col("_e") - F.col("_s"))
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if f.dataType.simpleString() in ("string", "bigint", "int")]
+    own = df.withColumn("_at", F.when(valid, F.col(start)).otherwise(-1 - F.pmod(F.xxhash64(*plain), F.lit(SPREAD))))
+    return own.join(slices, (F.col(chrom) == F.col("_c")) & (F.col("_at") == F.col("_s")) & (F.col(end) == F.col("_e")), "left").drop("_at", "_c", "_s", "_e")

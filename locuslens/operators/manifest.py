@@ -58,6 +58,47 @@ def missing_paths(rows: DataFrame, listing: DataFrame) -> DataFrame:
     return routes(rows).join(listing.select("path"), "path", "left_anti").select("ordinal", "id", "kind", "path")
 
 
+def findings(rows: DataFrame, listing: DataFrame) -> DataFrame:
+    """``ordinal, id, errors`` of rows that break a rule or name a file that the listing lacks."""
+    lost = missing_paths(rows, listing).select("ordinal").distinct().withColumn("lost", F.lit("missing file"))
+    all_ = rows.select("ordinal", "id").join(row_errors(rows).select("ordinal", "errors"), "ordinal", "left").join(lost, "ordinal", "left")
+    return all_.where("errors is not null or lost is not null").select("ordinal", "id", F.concat_ws(",", "errors", "lost").alias("errors"))
+
+
+def require_valid(rows: DataFrame, listing: DataFrame) -> DataFrame:
+    """``rows`` if none has findings; else an error that tells how many have and shows the first ones."""
+    found = findings(rows, listing)
+    bad = found.count()
+    if bad:
+        shown = "; ".join(f"row {r.ordinal} ({r.id}): {r.errors}" for r in found.orderBy("ordinal").limit(5).collect())
+        raise ValueError(f"{bad} manifest rows are not valid: {shown}")
+    return rows
+
+
+def expand_folders(folders: DataFrame, files: DataFrame) -> DataFrame:
+    """Result folders ``(id, folder)`` with each file of a listing ``(folder, path)`` below them."""
+    return folders.join(files, "folder").select("id", "path")
+
+
+def fastq_lists(rows: DataFrame) -> DataFrame:
+    """Rows of fastq lists of each case ``uid``: read group, sample, library, lane and both files."""
+    groups = read_groups(rows).select("ordinal", F.col("rgid").alias("RGID"), F.col("rglb").alias("RGLB"))
+    own = rows.where("read1 is not null").select("ordinal", "uid", F.col("id").alias("RGSM"), F.col("lane").cast("string").alias("Lane"), F.col("read1").alias("Read1File"), F.col("read2").alias("Read2File"))
+    return own.join(groups, "ordinal").select("uid", "RGID", "RGSM", "RGLB", "Lane", "Read1File", "Read2File")
+
+
+def look_up_lists(rows: DataFrame, lists: DataFrame, name: str) -> DataFrame:
+    """Rows with every read pair that the list named by their column ``name`` holds for their id."""
+    return rows.join(lists, (rows[name] == lists["list"]) & (rows["id"] == lists["RGSM"]))
+
+
+def provenance_lines(versions: DataFrame) -> DataFrame:
+    """Text lines of modules and their tools' versions; sort by ``module, rank, tool``."""
+    own = version_conflicts(versions)
+    heads = own.select("module", F.lit(0).alias("rank"), F.lit("").alias("tool"), F.concat("module", F.lit(":")).alias("value")).distinct()
+    return heads.unionByName(own.select("module", F.lit(1).alias("rank"), "tool", F.concat(F.lit("    "), "tool", F.lit(": "), "versions").alias("value")))
+
+
 def read_groups(rows: DataFrame) -> DataFrame:
     """Read-group id and library of rows with reads; null parts are left out."""
     group = F.concat_ws(".", "flowcell", F.nullif("sample_id", F.lit("")), "i7index", "i5index", "lane")
@@ -71,6 +112,13 @@ def facility_reshape(sheet: DataFrame) -> DataFrame:
     return sheet.select("ordinal", part("library", 0).alias("uid"), part("library", 1).alias("id"), part("library", 2).alias("assay"), part("index", 0).alias("i7index"), part("index", 1).alias("i5index"), "flowcell", "lane", F.when(first, F.col("fastq")).alias("read1"), F.when(~first, F.col("fastq")).alias("read2"), F.lit(None).cast("string").alias("sample_type"), F.lit(None).cast("string").alias("sample_id"))
 
 
+def facility_pairs(sheet: DataFrame) -> DataFrame:
+    """A facility sheet with both files in a row ``(ordinal, library, index, flowcell, lane, read1, read2)``, reshaped alike."""
+    part = lambda c, i: F.get(F.split(c, "-"), F.lit(i))
+    none = F.lit(None).cast("string")
+    return sheet.select("ordinal", part("library", 0).alias("uid"), part("library", 1).alias("id"), part("library", 2).alias("assay"), part("index", 0).alias("i7index"), part("index", 1).alias("i5index"), "flowcell", "lane", "read1", "read2", none.alias("sample_type"), none.alias("sample_id"))
+
+
 def pair_reads(first: DataFrame, second: DataFrame) -> DataFrame:
     """First and second reads of the same library, flowcell, index and lane."""
     keys = ["library", "flowcell", "index", "lane"]

@@ -10,6 +10,7 @@ from locuslens.adapters import duck, duck_slice, view
 from locuslens.functions import dna
 from locuslens.operators import alignments, classify, control, intervals, junctions, loci
 from locuslens.registry import query
+from locuslens.session import cut
 
 WINDOW, DISTANCE = 100, 25
 
@@ -70,12 +71,11 @@ classes as (select sample, qname, ordinal, locus, chrom, case type when 'INDEL'
   case when type = 'BND' then s[1] end as chrom2, case when type = 'BND' then case pat when 1 then s_pos when 2 then s_end + 1 when 3 then s_end else s_pos end end as pos2,
   case type when 'INDEL' then '++' when 'BND' then case when s[3] = strand then '++' else '+-' end else '' end as strands, case type when 'INDEL' then ref_bases when 'BND' then '' else '.' end as ref,
   case type when 'INDEL' then case kind when 'I' then substr(seq, e_query, e_all + 1) when 'D' then substr(ref_bases, 1, 1) else substr(seq, e_query + 2, greatest(0, {op_sum("event", "MI")} - 1)) end when 'BND' then '' else '.' end as alt, type from c14 where type is not null)"""
-FIRST = "case type when 'INDEL' then 0 when 'BND' then 1 else 2 end, ordinal"
+FIRST = "case type when 'INDEL' then 0 when 'BND' then 1 else 2 end, ordinal, pos, coalesce(chrom2, ''), coalesce(pos2, -1), strands, coalesce(ref, ''), coalesce(alt, '')"
 FRAGMENTS = CLASSES + ", fragments as (select sample, locus, qname, " + ", ".join(f"arg_min({c}, ({FIRST})) filter (where {c} is not null) as {c}" for c in classify.ALLELE) + " from classes group by sample, locus, qname)"
 ALLELES = FRAGMENTS + ", alleles as (select sample, locus, chrom, pos, chrom2, pos2, strands, ref, alt, type, count(*) as counts from fragments group by all)"
 DISTANCES = ALLELES + """, far as (select a.*, positions, case when pos is not null then list_min(list_transform(string_split(positions, ';'), lambda p: least(abs(pos - p::BIGINT), abs(pos + length(ref) - 1 - p::BIGINT)))) end as distance from alleles a join loci l using (locus))"""
 DEPTH = f"""depth as (select l.locus, count(distinct qname) as control_reads from loci l left join (select * from reads_v where sample = 'control' and {PRIMARY}) r on r.chrom = l.locus_chrom and r.pos < l.locus_end and r."end" > l.locus_start - {WINDOW} group by l.locus)"""
-KEPT = "where type is not null and ((counts >= 1 and coalesce(distance <= 25, false)) or ref = '.')"
 
 
 # ---- shared frames -----------------------------------------------------------------------------------
@@ -87,27 +87,32 @@ def locus_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loci.locus_members(site_rows(spark, sf_dir), WINDOW)
 
 
-def paired(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classify.reads_in_loci(view(spark, sf_dir, "reads"), locus_rows(spark, sf_dir), WINDOW)
+def paired(spark: SparkSession, sf_dir: str, sites: DataFrame | None = None) -> DataFrame:
+    return classify.reads_in_loci(view(spark, sf_dir, "reads"), locus_rows(spark, sf_dir) if sites is None else sites, WINDOW)
 
 
-def class_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classify.classify(paired(spark, sf_dir), adapters.reference(spark, sf_dir), WINDOW, DISTANCE)
+def class_rows(spark: SparkSession, sf_dir: str, sites: DataFrame | None = None) -> DataFrame:
+    return classify.classify(paired(spark, sf_dir, sites), adapters.reference(spark, sf_dir), WINDOW, DISTANCE)
 
 
-def allele_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classify.count_alleles(classify.collapse_fragments(class_rows(spark, sf_dir)))
+def allele_rows(spark: SparkSession, sf_dir: str, sites: DataFrame | None = None) -> DataFrame:
+    return classify.count_alleles(classify.collapse_fragments(class_rows(spark, sf_dir, sites)))
 
 
-def distant_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edited = allele_rows(spark, sf_dir).where("sample = 'edited'")
-    return loci.with_distance(edited, locus_rows(spark, sf_dir))
+def distant_rows(spark: SparkSession, sf_dir: str, sites: DataFrame | None = None) -> DataFrame:
+    sites = locus_rows(spark, sf_dir) if sites is None else sites
+    return loci.with_distance(allele_rows(spark, sf_dir, sites).where("sample = 'edited'"), sites)
+
 
+def unscored_rows(spark: SparkSession, sf_dir: str, sites: DataFrame, least_reads: int = 1) -> DataFrame:
+    """Edited alleles that pass all filters but that of the control, whose support is not looked at."""
+    return loci.candidate_filter(distant_rows(spark, sf_dir, sites).withColumn("control_alt", F.lit(0).cast("bigint")), least_reads, distance=DISTANCE)
 
-def filtered_rows(spark: SparkSession, sf_dir: str, least_reads: int = 1) -> DataFrame:
+
+def filtered_rows(spark: SparkSession, sf_dir: str, sites: DataFrame, least_reads: int = 1) -> DataFrame:
     """Edited alleles that pass all filters, scored in the control; as the filters are joined by "and", those that another one drops need no score."""
-    others = loci.candidate_filter(distant_rows(spark, sf_dir).withColumn("control_alt", F.lit(0)), least_reads, distance=DISTANCE).drop("control_alt")
-    scored = control.with_control_alt(others, control_reads(spark, sf_dir), locus_rows(spark, sf_dir), adapters.reference(spark, sf_dir), WINDOW)
+    others = cut(unscored_rows(spark, sf_dir, sites, least_reads).drop("control_alt"), "alleles")  # classified once, read by the scorer and the filter
+    scored = control.with_control_alt(others, control_reads(spark, sf_dir), sites, adapters.reference(spark, sf_dir), WINDOW)
     return loci.candidate_filter(scored, least_reads, distance=DISTANCE)
 
 
@@ -242,7 +247,7 @@ def aligned_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignments.aligned_overlap(view(spark, sf_dir, "reads"))
 
 
-MATES = f"""{duck("reads")}, own as (select *, flag & 64 <> 0 as f from reads_v where (flag & 2304) = 0), mate as (select sample, qname, f, arg_min(seq, ordinal) as mate_seq from own group by all),
+MATES = f"""{duck("reads")}, own as (select *, flag & 64 <> 0 as f from reads_v where (flag & 2304) = 0), mate as (select sample, qname, f, arg_min(seq, (ordinal, seq)) as mate_seq from own group by all),
 mated as (select o.*, coalesce(m.mate_seq, '.') as mate_seq from own o left join mate m on m.sample = o.sample and m.qname = o.qname and m.f <> o.f)"""
 
 
@@ -282,9 +287,16 @@ def site_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distant_rows(spark, sf_dir).select("locus", "pos", "ref", "alt", "type", "chrom2", "pos2", "strands", "counts", "distance")
 
 
-@query(f"with {DISTANCES} select locus, pos, ref, alt, type, counts, distance from far where sample = 'edited' and ((counts >= 2 and coalesce(distance <= 25, false)) or ref = '.')")
+@query()
 def candidate_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filtered_rows(spark, sf_dir, least_reads=2).select("locus", "pos", "ref", "alt", "type", "counts", "distance")
+    sites = cut(locus_rows(spark, sf_dir), "loci")
+    return filtered_rows(spark, sf_dir, sites, least_reads=2).select("locus", "pos", "ref", "alt", "type", "counts", "distance", "control_alt")
+
+
+@query(f"with {DISTANCES} select locus, pos, ref, alt, type, counts, distance from far where sample = 'edited' and ((counts >= 2 and coalesce(distance <= 25, false)) or ref = '.')")
+def candidates_unscored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The candidate filter without control scores, which SQL cannot compute."""
+    return unscored_rows(spark, sf_dir, locus_rows(spark, sf_dir), least_reads=2).select("locus", "pos", "ref", "alt", "type", "counts", "distance")
 
 
 @query(f"with {ALLELES} select sample, locus, pos, ref, alt, counts from (select * replace (case when counts % 2 = 0 then 'N' || alt else alt end as alt) from alleles) where not contains(alt, 'N')")
@@ -318,8 +330,9 @@ def control_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def control_support(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edited = allele_rows(spark, sf_dir).where("sample = 'edited' and type = 'INDEL'")
-    return control.control_support(edited, control_reads(spark, sf_dir), locus_rows(spark, sf_dir), adapters.reference(spark, sf_dir), ["locus", "pos", "ref", "alt"], WINDOW)
+    sites = cut(locus_rows(spark, sf_dir), "loci")
+    edited = cut(allele_rows(spark, sf_dir, sites).where("sample = 'edited' and type = 'INDEL'"), "alleles")
+    return control.control_support(edited, control_reads(spark, sf_dir), sites, adapters.reference(spark, sf_dir), ["locus", "pos", "ref", "alt"], WINDOW)
 
 
 @query(f"""with {DISTANCES}, {DEPTH}, f as (select * from far where sample = 'edited' and ((counts >= 1 and coalesce(distance <= {DISTANCE}, false)) or ref = '.') and not contains(alt, 'N')),
@@ -330,9 +343,17 @@ def control_support(spark: SparkSession, sf_dir: str) -> DataFrame:
     case when coalesce(total_reads, 0) > 0 then round(indel_reads / total_reads, 4) else 0.0 end::DOUBLE as indel_fraction, case when total_reads is null then 0 else control_reads end as control_reads, 0::BIGINT as control_indel_reads,
     0.0::DOUBLE as control_indel_fraction, coalesce(indel_count, 0) as indel_count, coalesce(indel_info, '.') as indel_info, coalesce(bnd_count, 0) as bnd_count, coalesce(bnd_info, '.') as bnd_info, target_info, is_target
   from loci left join agg using (locus) left join depth using (locus)""")
+def locus_report_unscored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report before alleles are scored in the control, which SQL cannot do: all of them count."""
+    sites = cut(locus_rows(spark, sf_dir), "loci")
+    alleles = loci.drop_ambiguous(unscored_rows(spark, sf_dir, sites))
+    return loci.locus_report(alleles, sites, loci.control_depth(control_reads(spark, sf_dir), sites, WINDOW))
+
+
+@query()
 def locus_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sites = locus_rows(spark, sf_dir)
-    alleles = loci.drop_ambiguous(filtered_rows(spark, sf_dir))
+    sites = cut(locus_rows(spark, sf_dir), "loci")
+    alleles = loci.drop_ambiguous(filtered_rows(spark, sf_dir, sites))
     return loci.locus_report(alleles, sites, loci.control_depth(control_reads(spark, sf_dir), sites, WINDOW))
 
 
@@ -340,18 +361,16 @@ def locus_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 USABLE = "(flag & 3328) = 0 and mapq > 0 and not (pos between 3130 and 5930)"
 
 
-def usable_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return junctions.usable(alignments.join_mates(view(spark, sf_dir, "reads")))
-
-
 @query(f"""with {MATES}, j as (select *, mate_pos + case when flag & 32 = 0 then 151 else 0 end as jpos from mated where {USABLE} and flag & 2 = 0 and flag & 8 = 0 and chrom <> mate_chrom)
   select qname, ordinal, mate_chrom as "Chromosome", jpos - 1 as "Start", jpos as "End", 'INS' as "Var", case when flag & 32 = 0 then '+' else '-' end as "Strand", 'ID=' || qname || ';Type=PR;Read1Seq=' || seq || ';Read2Seq=' || mate_seq as "Info", 'PR' as evidence from j""")
 def junctions_discordant(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return junctions.discordant(usable_reads(spark, sf_dir))
+    reads = view(spark, sf_dir, "reads")
+    return junctions.discordant(alignments.join_mates(junctions.apart(junctions.usable(reads)), reads))
 
 
 @query(f"""with {MATES}, ex as (select *, unnest({SA}) as s from mated where {USABLE} and flag & 2 <> 0 and case when flag & 16 <> 0 then {first_n("cigar", "([0-9]+)S$")} else {first_n("cigar", "^([0-9]+)S")} end >= 20), {SPLIT_AT},
   j as (select *, s[2]::BIGINT + case when s[3] = '+' then len(y) else 0 end as jpos from sp where s[1] <> chrom and s[5]::BIGINT >= 1 and s[6]::BIGINT <= 1 and len(list_intersect(x, y)) < 0.2::DOUBLE * len(x))
   select qname, ordinal, s[1] as "Chromosome", jpos - 1 as "Start", jpos as "End", 'INS' as "Var", s[3] as "Strand", 'ID=' || qname || ';Type=PR;Read1Seq=' || seq || ';Read2Seq=' || case when chrom = mate_chrom then '.' else mate_seq end as "Info", 'SR' as evidence from j""")
 def junctions_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return junctions.split(usable_reads(spark, sf_dir))
+    reads = view(spark, sf_dir, "reads")
+    return junctions.split(alignments.join_mates(junctions.clipped(junctions.usable(reads)), reads))

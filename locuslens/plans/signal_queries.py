@@ -19,15 +19,21 @@ def vaf_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cnv.tile_stats(view(spark, sf_dir, "vaf")).select("chrom", "tile", "n", F.round("mean", 6).alias("mean"))
 
 
-@query(f"""with {duck("vaf")}, t as (select chrom, {TILE} as tile, score from vaf_v), st as (select chrom, tile, count(*) as n, stddev_samp(score) as sd from t group by 1, 2 having count(*) >= 21 and stddev_samp(score) > 0),
+RAW = f"""{duck("vaf")}, t as (select chrom, {TILE} as tile, score from vaf_v), st as (select chrom, tile, count(*) as n, stddev_samp(score) as sd from t group by 1, 2 having count(*) >= 21 and stddev_samp(score) > 0),
   v as (select chrom, tile, score, count(*) as times from t group by 1, 2, 3), m as (select v.*, sd * pow(n, -0.2) as h from v join st using (chrom, tile)),
   d as (select chrom, tile, g, round(sum(times * exp(-0.5 * pow((g / 999.0::DOUBLE - score) / h, 2))), 9) as d from m, range(0, 1000) r(g) group by 1, 2, 3),
-  w as (select *, lag(d) over (partition by chrom, tile order by g) as a, lead(d) over (partition by chrom, tile order by g) as b from d) select chrom, tile, g from w where d > a and d > b""")
+  w as (select *, lag(d) over (partition by chrom, tile order by g) as a, lead(d) over (partition by chrom, tile order by g) as b from d), raw as (select chrom, tile, g, d from w where d > a and d > b)"""
+MODES = f"""{RAW}, ranked as (select chrom, tile, list([g] order by d desc, g) as l from raw group by 1, 2),
+  kept as (select chrom, tile, list_sort(list_reduce(l, lambda acc, x: case when len(list_filter(acc, lambda k: abs(k - x[1]) < 10)) = 0 then list_concat(acc, x) else acc end)) as k from ranked),
+  modes as (select chrom, tile, array_to_string(list_transform(k, lambda g: round(g / 999.0::DOUBLE, 4)::VARCHAR), ',') as modes from kept)"""
+
+
+@query(f"with {RAW} select chrom, tile, g from raw")
 def vaf_modes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cnv.raw_modes(cnv.densities(view(spark, sf_dir, "vaf"))).select("chrom", "tile", "g")
 
 
-@query()
+@query(f"with {MODES} select chrom, tile, modes from modes")
 def vaf_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cnv.modes(cnv.densities(view(spark, sf_dir, "vaf")))
 
@@ -39,9 +45,10 @@ def window_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cnv.window_coverage(windows, view(spark, sf_dir, "coverage")).select("chrom", "tile", F.round("coverage", 6).alias("coverage"), "n_intervals")
 
 
-@query()
+@query(f"""with {MODES}, {duck("coverage")}, tl as (select distinct chrom, tile from t), tr as (select tl.chrom, tl.tile, max(modes) as modes, round(avg(coverage), 6) as coverage from tl join coverage_v c on c.chrom = tl.chrom and c.start < tl.tile + 500000 and c."end" > tl.tile
+  left join modes on modes.chrom = tl.chrom and modes.tile = tl.tile group by 1, 2) select row_number() over (order by chrom, tile) - 1 as "index", chrom as "Chromosome", tile as "Start", tile + 500000 as "End", modes as "VAF", coverage as "NormalizedCoverage" from tr""")
 def cnv_track(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cnv.cnv_track(view(spark, sf_dir, "vaf"), view(spark, sf_dir, "coverage"))
+    return cnv.cnv_track(view(spark, sf_dir, "vaf"), view(spark, sf_dir, "coverage")).withColumn("NormalizedCoverage", F.round("NormalizedCoverage", 6))
 
 
 @query(f"with {duck('fastq')}, c as (select substr(seq, 1, 32) as start, count(*) as n from fastq_v group by 1) select start, n from c where n >= 0.001::DOUBLE * (select count(*) from fastq_v)")

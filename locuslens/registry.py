@@ -22,4 +22,5 @@ def query(sql: str | None = None) -> Callable:
     return keep
 
 
-from locuslens.plans import locus_queries, manifest_queries, signal_queries  # noqa: E402, F401
+from locuslens.plans import locus_queries, manifest_queries, signal_queries  # noqa: E402, F401, I001
+from locuslens.plans import file_queries  # noqa: E402, F401

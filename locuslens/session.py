@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -25,10 +28,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """A new folder for derived text files: below the cluster's shared folder, a temporary one only where none is set."""
-    import tempfile
-    import uuid
+#: Folders written by ``cut`` and ``scratch_dir`` in this process, until ``remove_written``.
+WRITTEN: list[str] = []
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, ``spark.checkpoint.dir``.
 
+    Where it is unset, a local session gets a temporary folder; on a cluster that is an error, because
+    executors would write to folders of their own.
+    """
     where = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{where.rstrip('/')}/files-{uuid.uuid4().hex}" if where else "file://" + tempfile.mkdtemp(prefix="locuslens-files-")
+    if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        where = "file://" + tempfile.mkdtemp(prefix="locuslens-")
+        spark.conf.set("spark.checkpoint.dir", where)
+    return where.rstrip("/")
+
+
+def scratch_dir(spark: SparkSession, name: str = "files") -> str:
+    """A new folder name below the shared folder."""
+    WRITTEN.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    return WRITTEN[-1]
+
+
+def cut(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
+    """Write ``df`` to the shared folder and read it back, so that no later step recomputes it."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.option("compression", compression).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_written(spark: SparkSession) -> None:
+    """Delete what ``cut`` and ``scratch_dir`` wrote; results that still read it must be finished or written."""
+    while WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(WRITTEN.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -15,7 +15,7 @@ START, END = 1000, 1060  # the locus
 @pytest.fixture(scope="module")
 def tiles(spark):
     chunks = spark.createDataFrame([("chr1", i, GENOME[i * 32 : i * 32 + 32]) for i in range(125)], "chrom string, chunk long, bases string")
-    return intervals.reference_tiles(chunks, reach=2048)
+    return intervals.reference_tiles(chunks)
 
 
 READ = "sample string, qname string, flag int, chrom string, pos long, end long, mapq int, cigar string, mate_chrom string, mate_pos long, seq string, nm long, sa string, ordinal long"

@@ -14,7 +14,7 @@ def small(spark, monkeypatch):
     """Three deletions of 3, 4 and 5 bases in one locus, one of them far from the site; control reads carry those of 3 and 5 bases."""
     r = random.Random(8)
     genome = "".join(r.choice("ACGT") for _ in range(960))
-    tiles = intervals.reference_tiles(spark.createDataFrame([("chr1", i, genome[i * 32 : i * 32 + 32]) for i in range(30)], "chrom string, chunk long, bases string"), reach=2048)
+    tiles = intervals.reference_tiles(spark.createDataFrame([("chr1", i, genome[i * 32 : i * 32 + 32]) for i in range(30)], "chrom string, chunk long, bases string"))
     cut = lambda at, n: (at + 1, genome[at : at + n + 1], genome[at])
     rows = [("edited", "L", "chr1", *cut(300, 3), "INDEL", 4), ("edited", "L", "chr1", *cut(310, 4), "INDEL", 1), ("edited", "L", "chr1", *cut(370, 5), "INDEL", 1), ("edited", "L", "chr1", 290, ".", ".", "REF", 7)]
     alleles = spark.createDataFrame(rows, "sample string, locus string, chrom string, pos long, ref string, alt string, type string, counts long").selectExpr("sample", "locus", "chrom", "pos", "string(null) as chrom2", "bigint(null) as pos2", "if(type = 'INDEL', '++', '') as strands", "ref", "alt", "type", "counts")

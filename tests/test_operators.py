@@ -74,7 +74,7 @@ def test_aligner_scores():
 def test_control_support_needs_the_same_gap(spark):
     r = random.Random(8)
     genome = "".join(r.choice("ACGT") for _ in range(640))
-    tiles = intervals.reference_tiles(spark.createDataFrame([("chr1", i, genome[i * 32 : i * 32 + 32]) for i in range(20)], "chrom string, chunk long, bases string"), reach=2048)
+    tiles = intervals.reference_tiles(spark.createDataFrame([("chr1", i, genome[i * 32 : i * 32 + 32]) for i in range(20)], "chrom string, chunk long, bases string"))
     alleles = spark.createDataFrame([("L", "chr1", 301, genome[300:304], genome[300], "INDEL"), ("L", "chr1", 301, genome[300:302], genome[300], "INDEL")], "locus string, chrom string, pos long, ref string, alt string, type string")
     site = spark.createDataFrame([("L", "chr1", 290, 320)], "locus string, locus_chrom string, locus_start long, locus_end long")
     seq = genome[250:301] + genome[304:354]
@@ -98,7 +98,7 @@ def test_junctions(spark):
     reads = junctions.usable(spark.createDataFrame(rows, cols))
     pr = {r.qname: (r.Chromosome, r.Start, r.End, r.Strand) for r in junctions.discordant(reads).collect()}
     assert pr == {"d1": ("chr1", 650, 651, "+"), "d2": ("chr1", 499, 500, "-")}
-    sr = {r.qname: (r.Chromosome, r.Start, r.End, r.Strand, r.Info) for r in junctions.split(reads).collect()}
+    sr = {r.qname: (r.Chromosome, r.Start, r.End, r.Strand, r.Info) for r in junctions.split(junctions.clipped(reads)).collect()}
     assert sr == {"s1": ("chr2", 129, 130, "+", "ID=s1;Type=PR;Read1Seq=AC;Read2Seq=."), "s2": ("chr2", 99, 100, "-", "ID=s2;Type=PR;Read1Seq=AC;Read2Seq=.")}
 
 
@@ -134,7 +134,7 @@ def test_text_formats(spark, tmp_path):
 
 def test_position_list_text(spark, tmp_path):
     chunks = spark.createDataFrame([("chr1", 0, "ACGT" * 8)], "chrom string, chunk long, bases string")
-    found = hotspots.positions(spark.createDataFrame([("chr1", 2, 4), ("chr1", 3, 6)], "chrom string, start long, end long"), intervals.reference_tiles(chunks, reach=64))
+    found = hotspots.positions(spark.createDataFrame([("chr1", 2, 4), ("chr1", 3, 6)], "chrom string, start long, end long"), intervals.reference_tiles(chunks))
     assert sorted((r.pos, r.base) for r in found.collect()) == [(2, "C"), (3, "G"), (4, "T"), (5, "A"), (6, "C")]
     text_formats.write_lines(hotspots.vcf_lines(found), str(tmp_path / "out"), ["rank", "chrom", "pos"])
     lines = [r.value for r in spark.read.text(str(tmp_path / "out")).collect()]
