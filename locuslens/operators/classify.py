@@ -1,7 +1,8 @@
 """One variant record per read and locus: insertion, deletion, complex, breakend or unchanged.
 
-All steps are column expressions over CIGAR strings, one stage per step, for all loci and samples at
-once. Deletions implied by a clip are true gaps between the two aligned parts, so that the same deletion
+All steps are column expressions over CIGAR strings, for all loci and samples at once. Three tables are
+written on the way (pairs with their parsed fields, pairs with their joined CIGAR, records without reference
+bases): each is read more than once, and plans stay small. Deletions implied by a clip are true gaps between the two aligned parts, so that the same deletion
 gets one allele whether a read was clipped or not. A clip whose supplementary alignment is near but of a
 shape that cannot be spliced is classified by its own alignment (no realignment of whole reads).
 """
@@ -13,18 +14,11 @@ from pyspark.sql import functions as F
 
 from locuslens.functions import dna
 from locuslens.operators import alignments, intervals
+from locuslens.session import cut
 
 KEY = ["sample", "qname", "ordinal", "locus"]
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """``df`` with its columns computed once: a one-element explode that the optimiser does not merge away.
-
-    Merged stages would repeat every earlier expression wherever a later one uses it.
-    """
-    return df.select(F.explode(F.array(F.struct(*(F.col(f"`{c}`") for c in df.columns)))).alias("_row")).select("_row.*")
-
-
 def reads_in_loci(reads: DataFrame, loci: DataFrame, window: int = 100) -> DataFrame:
     """Pairs of reads and loci ``(locus, locus_chrom, locus_start, locus_end)`` within ``window`` bases."""
     wide = loci.withColumn("_from", F.col("locus_start") - window).withColumn("_to", F.col("locus_end") + window)
@@ -44,31 +38,42 @@ def reanchor_clips(pairs: DataFrame, reference: DataFrame, window: int = 100, le
     sided = sided.withColumn("_b", F.when(F.col("clip_side") == "L", F.col("pos")).when(F.col("clip_side") == "R", F.col("end") + window))
     near = intervals.fetch_sequence(sided, reference, "chrom", "_a", "_b", "_near")
     clip = F.when(F.col("clip_side") == "L", F.substring("seq", F.lit(1), left.cast("int"))).otherwise(F.right("seq", right.cast("int")))
-    found = settle(near.withColumn("_clip", clip))
+    found = near.withColumn("_clip", clip)
     last = F.length("_near") - F.instr(F.reverse("_near"), F.reverse("_clip")) - F.length("_clip") + 1
     at = F.when((F.col("clip_side") == "L") & (F.instr(F.reverse("_near"), F.reverse("_clip")) > 0), last).when((F.col("clip_side") == "R") & (F.instr("_near", F.col("_clip")) > 0), F.instr("_near", F.col("_clip")) - 1)
     return found.withColumn("hit", (F.col("_a") + at).cast("bigint")).drop("_a", "_b", "_near", "_clip", "clip_side")
 
 
-def classify(pairs: DataFrame, reference: DataFrame, window: int = 100, distance: int = 25, min_sa_mapq: int = 10, max_nm: int = 5, far: int = 100_000, least_clip: int = 5) -> DataFrame:
-    """Variant record of every read-locus pair that passes the filters: the key columns, ``chrom2``, ``pos2``, ``strands``, ``ref``, ``alt``, ``type``."""
-    c = F.col("cigar")
+def parsed(pairs: DataFrame, max_nm: int = 5) -> DataFrame:
+    """Primary pairs within the mismatch budget with clips, strand, 1-based ends and the first supplementary entry ``s``; written."""
+    c, of = F.col("cigar"), F.col("s")["cigar"]
     own = alignments.mismatch_budget(alignments.primary_reads(pairs), max_nm)
     own = own.withColumns({"left_clip": dna.left_clip(c), "right_clip": dna.right_clip(c), "start1": F.col("pos") + 1, "end1": F.col("end"), "strand": F.when(dna.has_flag(dna.REVERSE), "-").otherwise("+"), "s": F.get(dna.supplementary(F.col("sa")), F.lit(0))})
-    own = own.withColumns({"s_span": dna.op_total(F.col("s")["cigar"], "MDN"), "s_left": dna.left_clip(F.col("s")["cigar"], dna.CLIP_OPS), "s_right": dna.right_clip(F.col("s")["cigar"], dna.CLIP_OPS), "s_query": dna.op_total(F.col("s")["cigar"], "MI")})
-    left, right = F.col("left_clip"), F.col("right_clip")
-    own = settle(own)
-    alike = (F.col("s")["mq"] >= min_sa_mapq) & (F.col("s")["nm"] < max_nm) & (F.col("s")["chrom"] == F.col("chrom")) & (F.col("s")["strand"] == F.col("strand"))
-    before = (left > right) & alike & (F.col("s")["pos"] < F.col("start1")) & (F.col("start1") - F.col("s")["pos"] < far)
-    after = (right > left) & alike & (F.col("s")["pos"] > F.col("end1")) & (F.col("s")["pos"] - F.col("end1") < far)
-    s_lead, s_tail = dna.first_length(F.col("s")["cigar"], "^([0-9]+)M"), dna.first_length(F.col("s")["cigar"], "([0-9]+)M$")
-    own = own.withColumns({"near_left": F.coalesce(before, F.lit(False)), "near_right": F.coalesce(after & (F.col("s_left") > 0) & (s_tail > 0), F.lit(False))})
-    splice_left = F.col("near_left") & (F.col("s_right") > 0) & (s_lead == left)
-    splice_right = F.col("near_right") & (s_tail == right)
-    own = own.withColumns({"splice_left": splice_left, "splice_right": splice_right})
-    # clips without a usable supplementary alignment may lie in the reference nearby
-    asks = ((left > right) & ~F.col("near_left")) | ((right > left) & F.col("s").isNull())
-    own = own.withColumn("asks", asks)
+    columns = {"s_span": dna.op_total(of, "MDN"), "s_left": dna.left_clip(of, dna.CLIP_OPS), "s_right": dna.right_clip(of, dna.CLIP_OPS), "s_query": dna.op_total(of, "MI"), "s_lead": dna.first_length(of, "^([0-9]+)M"), "s_tail": dna.first_length(of, "([0-9]+)M$")}
+    kept = [*KEY, "chrom", "pos", "end", "cigar", "seq", "locus_start", "locus_end", "left_clip", "right_clip", "start1", "end1", "strand", "s"]
+    return cut(own.withColumns(columns).select(*kept, *columns), "read-pairs")
+
+
+def near_supplementary(min_sa_mapq: int = 10, max_nm: int = 5, far: int = 100_000) -> dict[str, Column]:
+    """``near_left``, ``near_right``: the supplementary entry goes on where the longer clip begins, on the same strand and not too far."""
+    left, right, s = F.col("left_clip"), F.col("right_clip"), F.col("s")
+    alike = (s["mq"] >= min_sa_mapq) & (s["nm"] < max_nm) & (s["chrom"] == F.col("chrom")) & (s["strand"] == F.col("strand"))
+    before = (left > right) & alike & (s["pos"] < F.col("start1")) & (F.col("start1") - s["pos"] < far)
+    after = (right > left) & alike & (s["pos"] > F.col("end1")) & (s["pos"] - F.col("end1") < far)
+    return {"near_left": F.coalesce(before, F.lit(False)), "near_right": F.coalesce(after & (F.col("s_left") > 0) & (F.col("s_tail") > 0), F.lit(False))}
+
+
+#: Clips without a usable supplementary alignment may lie in the reference nearby.
+ASKS = "(left_clip > right_clip and not near_left) or (right_clip > left_clip and s is null)"
+
+
+def classify(pairs: DataFrame, reference: DataFrame, window: int = 100, distance: int = 25, min_sa_mapq: int = 10, max_nm: int = 5, far: int = 100_000, least_clip: int = 5) -> DataFrame:
+    """Variant record of every read-locus pair that passes the filters: the key columns, ``chrom2``, ``pos2``, ``strands``, ``ref``, ``alt``, ``type``."""
+    c, left, right = F.col("cigar"), F.col("left_clip"), F.col("right_clip")
+    own = parsed(pairs, max_nm).withColumns(near_supplementary(min_sa_mapq, max_nm, far))
+    splice_left = F.col("near_left") & (F.col("s_right") > 0) & (F.col("s_lead") == left)
+    splice_right = F.col("near_right") & (F.col("s_tail") == right)
+    own = own.withColumns({"splice_left": splice_left, "splice_right": splice_right, "asks": F.expr(ASKS)})
     own = reanchor_clips(own, reference, window, least_clip, F.col("asks"))
     body = F.regexp_replace(c, "^[0-9]+S", "")
     trunk = F.regexp_replace(c, "[0-9]+S$", "")
@@ -81,12 +86,11 @@ def classify(pairs: DataFrame, reference: DataFrame, window: int = 100, distance
         .when(F.col("hit").isNotNull(), F.concat(trunk, gap(F.col("hit") - F.col("end")), m(right)))
         .otherwise(c)
     )
-    own = settle(own.withColumn("joined", joined))
     start = F.when(F.col("near_left"), F.col("s")["pos"]).when(F.col("hit").isNotNull() & (left > right), F.col("hit") + 1).otherwise(F.col("start1"))
-    own = own.withColumn("start1", start)
+    own = own.withColumns({"joined": joined, "start1": start})
     span_end = F.col("start1") + dna.op_total(F.col("joined"), "MDN")
-    end = F.when((right > left) & F.col("s").isNotNull(), span_end).when((right > left) & F.col("hit").isNotNull(), span_end).otherwise(F.col("end1"))
-    own = settle(own.withColumn("end1", end))
+    end = F.when((right > left) & (F.col("s").isNotNull() | F.col("hit").isNotNull()), span_end).otherwise(F.col("end1"))
+    own = cut(own.withColumn("end1", end).drop("cigar", "pos", "end", "hit", "asks", "near_left", "near_right", "splice_left", "splice_right", "s_lead", "s_tail"), "joined-reads")
     own = own.where((F.col("start1") - left < F.col("locus_end") + distance) & (F.col("end1") + right > F.col("locus_start") - distance))
     # strip outer clips, then the outer matches: what is left is the event
     q_from = dna.left_clip(F.col("joined"), dna.CLIP_OPS)
@@ -94,19 +98,18 @@ def classify(pairs: DataFrame, reference: DataFrame, window: int = 100, distance
     own = own.withColumns({"core": core, "q_from": q_from})
     lead = dna.first_length(F.col("core"), "^([0-9]+)M")
     event = F.regexp_replace(F.regexp_replace(F.col("core"), "^[0-9]+M", ""), "[0-9]+M$", "")
-    own = settle(own)
     own = own.withColumns({"is_event": dna.op_count(F.col("core")) > 1, "lead": lead, "event": event})
     own = own.withColumns({"e_pos": F.col("start1") + F.col("lead"), "e_query": F.col("q_from") + F.col("lead"), "e_ops": dna.op_count(F.col("event")), "e_all": dna.op_total(F.col("event"), "MIDNSHP=X")})
     single_i = (F.col("e_ops") == 1) & F.col("event").endswith("I")
     single_d = (F.col("e_ops") == 1) & F.col("event").rlike("[DN]$")
     kind = F.when(F.col("is_event"), F.when(single_i, "I").when(single_d, "D").otherwise("C"))
-    own = settle(own.withColumn("kind", kind))
+    own = own.withColumn("kind", kind)
     # breakends: trim the overlap of the two parts, then test distance and order
     p_query = dna.op_total(F.col("core"), "MI")
     trim = F.greatest(F.lit(0), p_query + F.col("s_query") - F.length("seq"))
     s_pos = F.when(F.col("s_left") > F.col("s_right"), F.col("s")["pos"] + trim).otherwise(F.col("s")["pos"])
     s_end = F.when(F.col("s_right") > F.col("s_left"), F.col("s")["pos"] + F.col("s_span") - 1 - trim).otherwise(F.col("s")["pos"] + F.col("s_span") - 1)
-    own = settle(own.withColumns({"s_pos": s_pos, "s_end": s_end}))
+    own = own.withColumns({"s_pos": s_pos, "s_end": s_end})
     apart = (F.col("s")["chrom"] != F.col("chrom")) | (F.abs(F.col("s_pos") - F.col("start1")) >= far)
     trusted = (F.col("s")["mq"] >= min_sa_mapq) & (F.col("s")["nm"] <= max_nm) & (F.col("s")["mq"] > 0) & apart
     broken = trusted | (F.col("s")["strand"] != F.col("strand")) | ((right > 0) & (F.col("s_end") < F.col("start1"))) | ((left > 0) & (F.col("s_pos") > F.col("end1")))
@@ -117,10 +120,9 @@ def classify(pairs: DataFrame, reference: DataFrame, window: int = 100, distance
     sl, sr = F.col("s_left") > F.col("s_right"), F.col("s_right") > F.col("s_left")
     pattern = F.when(same & rl & sl, 1).when(same & lr & sr, 2).when(~same & rl & sr, 3).when(~same & lr & sl, 4)
     own = own.withColumn("pattern", F.when(F.col("bnd"), pattern))
-    own = settle(own)
     touches = (F.col("start1") < F.col("locus_end")) & (F.col("end1") > F.col("locus_start"))
     kind_of = F.when(F.col("is_event"), "INDEL").when(F.col("bnd"), F.when(F.col("pattern").isNotNull(), "BND")).when(touches, "REF")
-    own = own.withColumn("type", kind_of).where("type is not null")
+    own = own.withColumn("type", kind_of)
     by_type = lambda indel, bnd, ref: F.when(F.col("type") == "INDEL", indel).when(F.col("type") == "BND", bnd).otherwise(ref)
     query = lambda a, n: F.substring("seq", a.cast("int"), n.cast("int"))
     # bases of the read that replace the reference; a deletion keeps the first reference base instead
@@ -135,7 +137,8 @@ def classify(pairs: DataFrame, reference: DataFrame, window: int = 100, distance
         by_type(F.lit("++"), F.when(same, "++").otherwise("+-"), empty).alias("strands"), "type", "kind", own_bases.alias("own_bases"), from_.alias("ref_from"), to.alias("ref_to"),
     )
     # only these columns travel to the reference
-    found = intervals.fetch_sequence(settle(narrow), reference, "chrom", "ref_from", "ref_to", "ref_bases")
+    narrow = cut(narrow, "records").where("type is not null")
+    found = intervals.fetch_sequence(narrow, reference, "chrom", "ref_from", "ref_to", "ref_bases")
     alt = F.when(F.col("kind") == "D", F.substring("ref_bases", 1, 1)).otherwise(F.col("own_bases"))
     return found.select(*KEY, "chrom", "pos", "chrom2", "pos2", "strands", by_type(F.col("ref_bases"), empty, F.lit(".")).alias("ref"), by_type(alt, empty, F.lit(".")).alias("alt"), "type")
 

@@ -56,14 +56,15 @@ TILE, SPREAD = 4096, 4096
 
 
 def reference_tiles(chunks: DataFrame, chunk: int = 32) -> DataFrame:
-    """``(chrom, tile, bases)``: the bases from position ``tile * TILE`` on, up to the last known one of the tile.
+    """``(chrom, tile, bases)``: the bases from position ``tile * TILE`` on, up to the last known one of the tile,
+    as bytes, which are cut without a walk over the characters before.
 
     ``chunks`` are ``(chrom, chunk, bases)`` pieces of ``chunk`` bases; lacking ones read ``N``.
     """
     tile = F.floor(F.col("chunk") * chunk / TILE).alias("tile")
     held = chunks.groupBy("chrom", tile).agg(F.array_sort(F.collect_list(F.struct("chunk", "bases"))).alias("parts"))
     padded = F.transform("parts", lambda x, i: F.concat(F.repeat(F.lit("N"), ((x.chunk - F.when(i == 0, F.col("tile") * (TILE // chunk) - 1).otherwise(F.get("parts.chunk", i - 1)) - 1) * chunk).cast("int")), x.bases))
-    return held.select("chrom", "tile", F.array_join(padded, "").alias("bases"))
+    return held.select("chrom", "tile", F.array_join(padded, "").cast("binary").alias("bases"))
 
 
 def fetch_sequence(df: DataFrame, tiles: DataFrame, chrom: str, start: str, end: str, out: str) -> DataFrame:
@@ -80,7 +81,7 @@ def fetch_sequence(df: DataFrame, tiles: DataFrame, chrom: str, start: str, end:
     met = parts.join(known, (F.col("_c") == F.col("_kc")) & (F.col("_t") == F.col("_kt")))
     a = F.greatest(F.col("_s") - F.col("_t") * TILE, F.lit(0))
     size = F.least(F.col("_e") - F.col("_t") * TILE, F.lit(TILE)) - a
-    pieces = met.select("_c", "_s", "_e", "_t", F.substring("bases", (a + 1).cast("int"), size.cast("int")).alias("_p"))
+    pieces = met.select("_c", "_s", "_e", "_t", F.substring("bases", (a + 1).cast("int"), size.cast("int")).cast("string").alias("_p"))
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_t", "_p"))), lambda x: x._p), "")
     slices = pieces.groupBy("_c", "_s", "_e").agg(text.alias(out)).where(F.length(out) == F.col("_e") - F.col("_s"))
     plain = [F.col(f"`{f.name}`") for f in df.schema.fields if f.dataType.simpleString() in ("string", "bigint", "int")]

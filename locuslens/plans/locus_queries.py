@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from locuslens import adapters
 from locuslens.adapters import duck, duck_slice, view
-from locuslens.functions import dna
 from locuslens.operators import alignments, classify, control, intervals, junctions, loci
 from locuslens.registry import query
 from locuslens.session import cut
@@ -92,6 +91,7 @@ def paired(spark: SparkSession, sf_dir: str, sites: DataFrame | None = None) ->
 
 
 def class_rows(spark: SparkSession, sf_dir: str, sites: DataFrame | None = None) -> DataFrame:
+    sites = cut(locus_rows(spark, sf_dir), "loci") if sites is None else sites
     return classify.classify(paired(spark, sf_dir, sites), adapters.reference(spark, sf_dir), WINDOW, DISTANCE)
 
 
@@ -100,7 +100,7 @@ def allele_rows(spark: SparkSession, sf_dir: str, sites: DataFrame | None = None
 
 
 def distant_rows(spark: SparkSession, sf_dir: str, sites: DataFrame | None = None) -> DataFrame:
-    sites = locus_rows(spark, sf_dir) if sites is None else sites
+    sites = cut(locus_rows(spark, sf_dir), "loci") if sites is None else sites
     return loci.with_distance(allele_rows(spark, sf_dir, sites).where("sample = 'edited'"), sites)
 
 
@@ -258,12 +258,7 @@ def mate_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"with {CLASSES} select ordinal, locus, hit from c5 where hit is not null")
 def clip_reanchor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = alignments.mismatch_budget(alignments.primary_reads(paired(spark, sf_dir)))
-    c = F.col("cigar")
-    own = own.withColumns({"left_clip": dna.left_clip(c), "right_clip": dna.right_clip(c), "s": F.get(dna.supplementary(F.col("sa")), F.lit(0)), "strand": F.when(dna.has_flag(dna.REVERSE), "-").otherwise("+")})
-    near = (F.col("s")["mq"] >= 10) & (F.col("s")["nm"] < 5) & (F.col("s")["chrom"] == F.col("chrom")) & (F.col("s")["strand"] == F.col("strand")) & (F.col("s")["pos"] < F.col("pos") + 1) & (F.col("pos") + 1 - F.col("s")["pos"] < 100_000)
-    left, right = F.col("left_clip"), F.col("right_clip")
-    own = own.where(((left > right) & ~F.coalesce(near, F.lit(False))) | ((right > left) & F.col("s").isNull()))
+    own = classify.parsed(paired(spark, sf_dir)).withColumns(classify.near_supplementary()).where(classify.ASKS)
     return classify.reanchor_clips(own, adapters.reference(spark, sf_dir), WINDOW).where("hit is not null").select("ordinal", "locus", "hit")
 
 
@@ -296,7 +291,7 @@ def candidate_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"with {DISTANCES} select locus, pos, ref, alt, type, counts, distance from far where sample = 'edited' and ((counts >= 2 and coalesce(distance <= 25, false)) or ref = '.')")
 def candidates_unscored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The candidate filter without control scores, which SQL cannot compute."""
-    return unscored_rows(spark, sf_dir, locus_rows(spark, sf_dir), least_reads=2).select("locus", "pos", "ref", "alt", "type", "counts", "distance")
+    return unscored_rows(spark, sf_dir, cut(locus_rows(spark, sf_dir), "loci"), least_reads=2).select("locus", "pos", "ref", "alt", "type", "counts", "distance")
 
 
 @query(f"with {ALLELES} select sample, locus, pos, ref, alt, counts from (select * replace (case when counts % 2 = 0 then 'N' || alt else alt end as alt) from alleles) where not contains(alt, 'N')")

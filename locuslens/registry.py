@@ -1,4 +1,4 @@
-"""All queries over the given tables, with their SQL."""
+"""All queries over the given tables, with their SQL; importing ``locuslens.plans`` fills it."""
 
 from __future__ import annotations
 
@@ -20,7 +20,3 @@ def query(sql: str | None = None) -> Callable:
         return f
 
     return keep
-
-
-from locuslens.plans import locus_queries, manifest_queries, signal_queries  # noqa: E402, F401, I001
-from locuslens.plans import file_queries  # noqa: E402, F401

@@ -24,8 +24,9 @@ def build_session(master: str = "local[8]", app: str = "locuslens", **conf: str)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given Parquet tables (a file or a folder of part files)."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the given Parquet tables (a file or a folder of part files); a small one in few splits is dealt over all cores."""
+    rows, cores = spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
 #: Folders written by ``cut`` and ``scratch_dir`` in this process, until ``remove_written``.

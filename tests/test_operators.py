@@ -66,6 +66,9 @@ def test_aligner_scores():
     pairs = [(base(r.randint(1, 25)), base(r.randint(1, 30))) for _ in range(60)]
     scores, _, _ = control.align([a for a, _ in pairs], [b for _, b in pairs])
     assert scores.tolist() == [local_score(a, b) for a, b in pairs]
+    assert control.best_scores([a for a, _ in pairs], [b for _, b in pairs]).tolist() == scores.tolist()
+    alike = [(b[: r.randint(20, 90)] + b[r.randint(60, 100) :], b) for b in (base(200) for _ in range(40))]
+    assert control.best_scores(*zip(*alike, strict=True)).tolist() == control.align(*zip(*alike, strict=True))[0].tolist()
     t = base(80)
     score, deleted, inserted = control.align([t[:40] + t[43:], t[:40] + "AC" + t[40:]], [t, t])
     assert deleted[0] == 3 and inserted[0] == 0 and deleted[1] == 0 and inserted[1] == 2 and score[0] == 5 * 77 - 12
