@@ -1,44 +1,47 @@
-"""Helpers of the corpus operators: written cut points, components, prefix scans, text rules."""
+"""Helpers of the corpus operators: components, prefix scans, text rules."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from locuslens.session import cut
+
 #: ASCII white space of the contracts, as a class body for Java and Python patterns.
 SPACE = r"\x20\x09-\x0D"
 WORD_PATTERN = f"[^{SPACE}]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a temporary one only where the cluster names none."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = "file://" + tempfile.mkdtemp(prefix="locuslens-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
-
+def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 512, most_bytes: int = 1 << 25) -> Iterator[pa.RecordBatch]:
+    """The same rows in slices of at most ``rows`` and about ``most_bytes`` (or one longer row), so that Python holds few long texts at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            waiting = [batch.slice(at, rows)]
+            while waiting:
+                part = waiting.pop()
+                if part.num_rows > 1 and part.nbytes > most_bytes:
+                    half = part.num_rows // 2
+                    waiting += [part.slice(half), part.slice(0, half)]
+                else:
+                    yield part
 
-def cut(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, so that no later step recomputes it."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
 
+def salted(df: DataFrame, key: str, share: int = 1000, least: int = 1000) -> DataFrame:
+    """``df`` with ``_salt``: a number of its own for each row of a key that holds more than ``least`` rows and more
+    than one in ``share`` of all, else 0. Write the result before it is used, so that retries agree.
 
-def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
-    """The same rows in slices of at most ``rows``, so that Python holds few long texts at a time."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+    Fewer than ``share`` keys can be so frequent, so they are broadcast, whatever the input.
+    """
+    counts = df.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_c")).where(F.col("_c") > least)
+    total = df.agg(F.count("*").alias("_total"))  # one row
+    hot = counts.join(F.broadcast(total), F.col("_c") * share > F.col("_total")).select("_key", F.lit(True).alias("_hot"))
+    own = df.withColumn("_row", F.monotonically_increasing_id()).join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_key")), "left")
+    return own.withColumn("_salt", F.when(F.col("_hot"), F.col("_row") + 1).otherwise(F.lit(0))).drop("_key", "_hot", "_row")
 
 
 def with_fields(schema: T.StructType, ddl: str) -> T.StructType:

@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from locuslens.llm.common import cut, let
+from locuslens.llm.common import let
+from locuslens.session import cut
 
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -85,7 +86,13 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", b
     copies = rows.groupBy(key, "chars", "sha").agg(F.count("*").alias("copies")).withColumn("k", row_key)
     owned = cut(copies.join(identity, "k"), "identities")
     groups = owned.groupBy("level", "name").agg(F.sum("copies").alias("group_size"), F.min(F.struct(-F.col("chars"), F.col(key).isNull().alias("none"), F.col(key).alias("id"))).alias("best"))
-    found = owned.join(groups.select("level", "name", "group_size", F.col("best.id").alias("keep_id"), F.col("best.col1").alias("best_chars")), ["level", "name"])
+    groups = cut(groups.select("level", "name", "group_size", F.col("best.id").alias("keep_id"), F.col("best.col1").alias("best_chars")), "groups")
+    # groups of more than a thousandth of all rows are fewer than a thousand: these are broadcast, the others joined
+    total = groups.agg(F.sum("group_size").alias("total"))
+    hot = groups.where("group_size > 1000").join(F.broadcast(total), F.expr("group_size * 1000 > total")).drop("total")
+    place = ["level", "name"]
+    rest = owned.join(F.broadcast(hot.select(*place)), place, "left_anti").join(groups, place)
+    found = rest.unionByName(owned.join(F.broadcast(hot), place))
     copy = found.select("*", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
     stays = F.col(key).eqNullSafe(F.col("keep_id")) & (F.col("chars") == -F.col("best_chars")) & (F.col("copy") == 1)
     return copy.select(key, "keep_id", "group_size", stays.alias("kept"), F.col("sha").alias("text_sha256"), "copy")

@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 from locuslens.llm.common import small_batches, with_fields
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+#: One attribute: its whole name, then its value if it has one.
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?|[\"']")
+HEAD = frozenset("title base link meta style script noscript template".split())
 SPACES = re.compile(r"[\x20\x09-\x0D]+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template svg iframe object math canvas textarea select title".split())
@@ -106,6 +108,8 @@ class Page:
                         break
                 continue
             rest = m["rest"]
+            if stack[-1][0] == "head" and tag not in HEAD:  # </head> may be left out
+                del stack[-1]
             if tag in RAW:
                 if not rest.rstrip().endswith("/"):
                     close = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(source, at)
@@ -132,15 +136,17 @@ class Page:
             gone = False
             if rest and ("=" in rest or "hidden" in rest):
                 for a in ATTRIBUTE.finditer(rest):
-                    key, value = a[1].lower(), (a[2] or a[3] or a[4] or "").lower()
+                    key, value = (a[1] or "").lower(), (a[2] or a[3] or a[4] or "").lower()
                     if key in ("class", "id", "role"):
                         for w in re.split(r"[^a-z]+", value):
                             if w in WORD_OF:
                                 words.add(WORD_OF[w])
                     elif key == "style":
                         gone |= "display:none" in value.replace(" ", "")
-                    else:
-                        gone |= key == "hidden" or value == "true"
+                    elif key == "hidden":
+                        gone |= value != "until-found"
+                    elif key == "aria-hidden":
+                        gone |= value == "true"
             _, above, links, _ = stack[-1]
             links += tag == "a"
             if block or words:

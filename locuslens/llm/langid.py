@@ -5,8 +5,9 @@ codeword has a 1 there from the others, on hashed 1- to 4-grams of the lower-cas
 decoded to the codeword of least weighted logistic loss, each bit weighing in by its accuracy; a text
 whose two best codewords lose almost alike is flagged ambiguous.
 
-The fit uses a bounded sample, ``per_language`` rows of each label chosen by a seeded hash of the key
-(documented bound; whole texts). Predictions read the whole text of every row.
+The fit uses a bounded sample, ``per_language`` rows of each label and ``most_rows`` in all, chosen by a
+seeded hash of key and text (documented bounds; whole texts; at least 20 rows of a label). The driver gets
+their features, at most 48 KB a row. Predictions read the whole text of every row.
 
 Defined results: ``und`` with score 0 for null texts and texts without a letter, and for every text if
 no labelled row exists; one learned language is always predicted with score 1; repeated rows are
@@ -74,17 +75,15 @@ def codewords(count: int, seed: int = 5) -> np.ndarray:
     return best
 
 
-def fit(rows: list[tuple[str, str]], steps: int = 120, rate: float = 8.0, ridge: float = 1e-5) -> Model:
-    """Bit classifiers by full-batch gradient descent; every language weighs the same."""
-    languages = sorted({lang for _, lang in rows})
+def fit(rows: list[tuple[np.ndarray, np.ndarray, str]], steps: int = 120, rate: float = 8.0, ridge: float = 1e-5) -> Model:
+    """Bit classifiers by full-batch gradient descent on ``training_rows``; every language weighs the same."""
+    languages = sorted({lang for _, _, lang in rows})
     if not languages:
         return Model([], np.zeros((0, 1)), np.zeros((DIMENSIONS, 1), np.float32), np.zeros(1), np.ones(1))
     codes = codewords(len(languages))
     index = {lang: i for i, lang in enumerate(languages)}
-    x = np.empty((len(rows), DIMENSIONS), np.float32)
-    for i, (text, _) in enumerate(rows):
-        x[i] = features(text)
-    y = np.array([index[lang] for _, lang in rows])
+    x = matrix(rows)
+    y = np.array([index[lang] for _, _, lang in rows])
     share = (1 / np.bincount(y, minlength=len(languages)))[y][:, None] / len(languages)
     goal = codes[y].astype(np.float32)
     weights, bias = np.zeros((DIMENSIONS, codes.shape[1]), np.float32), np.zeros(codes.shape[1])
@@ -99,6 +98,21 @@ def fit(rows: list[tuple[str, str]], steps: int = 120, rate: float = 8.0, ridge:
     return Model(languages, codes, weights.astype(np.float32), bias, trust / trust.sum())
 
 
+def matrix(rows: list[tuple[np.ndarray, np.ndarray, str]]) -> np.ndarray:
+    """Dense features of ``training_rows``, at most its ``most_rows``."""
+    x = np.zeros((len(rows), DIMENSIONS), np.float32)
+    for i, (slots, values, _) in enumerate(rows):
+        x[i, slots] = values
+    return x
+
+
+def row_of(text: str, lang: str) -> tuple[np.ndarray, np.ndarray, str]:
+    """A text as its features that are not 0: slots and values."""
+    own = features(text).astype(np.float32)
+    slots = np.flatnonzero(own).astype(np.uint16)
+    return slots, own[slots], lang
+
+
 def decode(margins: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Best codeword, its share of ``exp(-loss)`` over all codewords, and the loss gap to the second."""
     losses = (np.logaddexp(0, -margins[:, None, :] * model.codes[None]) * model.trust).sum(2) * model.codes.shape[1]
@@ -114,20 +128,48 @@ def least_loss(margins: np.ndarray, model: Model) -> np.ndarray:
     return (np.logaddexp(0, -margins[:, None, :] * model.codes[None]) * model.trust).sum(2).min(1) * model.codes.shape[1]
 
 
-def loss_limit(rows: list[tuple[str, str]], model: Model) -> float:
+def loss_limit(rows: list[tuple[np.ndarray, np.ndarray, str]], model: Model) -> float:
     """Twice the largest loss of a labelled row, at least a quarter of that of a text that says nothing to any bit."""
-    losses = [least_loss((features(text).astype(np.float32) @ model.weights + model.bias)[None], model)[0] for text, _ in rows]
+    losses = least_loss(matrix(rows) @ model.weights + model.bias, model) if rows and model.languages else []
     return max([0.25 * np.log(2) * model.codes.shape[1], *(2 * x for x in losses)])
 
 
-def training_rows(docs: DataFrame, usable: Column, key: str = "doc_id", text: str = "text", label: str = "lang", per_language: int = 400, seed: int = 7) -> list[tuple[str, str]]:
-    """At most ``per_language`` labelled texts of each language that satisfy ``usable``, by seeded hash."""
-    order = W.partitionBy(label).orderBy(F.xxhash64(F.col(key).cast("string"), F.lit(seed)), key)
-    labelled = docs.where(usable & F.col(label).isNotNull() & F.col(text).rlike(r"\p{L}"))
-    chosen = labelled.select(key, label, F.row_number().over(order).alias("_n")).where(F.col("_n") <= per_language).select(key).distinct()
-    rows = labelled.join(chosen, key, "left_semi").select(text, label).collect()  # bounded by per_language texts of each label
-    random.Random(seed).shuffle(rows := sorted((r[0], r[1]) for r in rows))
-    return rows
+def training_rows(docs: DataFrame, usable: Column, key: str = "doc_id", text: str = "text", label: str = "lang", per_language: int = 400, most_rows: int = 4000, seed: int = 7) -> list[tuple[np.ndarray, np.ndarray, str]]:
+    """Features of at most ``per_language`` labelled texts of each language that satisfy ``usable``, by seeded hash, and of about ``most_rows`` together.
+
+    Counts per language tell which hashes are small enough: only rows below that bound, some hundred more
+    than wanted, are ranked, and the texts of the chosen ones become features where they lie. Rows of one
+    key and text count once.
+    """
+    mark = F.xxhash64(F.col(key).cast("string"), F.xxhash64(text), F.lit(seed))
+    labelled = docs.where(usable & F.col(label).isNotNull() & F.col(text).rlike(r"\p{L}")).select(F.col(label).alias("_label"), mark.alias("_mark"), F.col(text).alias("_text"))
+    sizes = docs.where(usable & F.col(label).isNotNull()).groupBy(F.col(label).alias("_label")).agg(F.count("*").alias("n")).collect()  # one row per language
+    if not sizes:
+        return []
+    wanted = max(20, min(per_language, most_rows // len(sizes)))
+    share = F.create_map(*(F.lit(v) for r in sizes for v in (r["_label"], min(1.0, (2 * wanted + 200) / r["n"]))))
+    near = labelled.where(F.col("_mark").cast("double") <= F.element_at(share, F.col("_label")) * 2.0**64 - 2.0**63)
+    ranked = near.select("_label", "_mark").distinct().withColumn("_n", F.row_number().over(W.partitionBy("_label").orderBy("_mark")))
+    chosen = F.broadcast(ranked.where(F.col("_n") <= wanted).select("_label", "_mark"))  # at most ``wanted`` rows a language
+    schema = "label string, mark bigint, slots binary, vals binary"
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given: set[tuple[str, int]] = set()
+        for batch in small_batches(batches):
+            out = []
+            for lang, own, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (lang, own) not in given:
+                    given.add((lang, own))
+                    slots, vals, _ = row_of(value, lang)
+                    out.append((lang, own, slots.tobytes(), vals.tobytes()))
+            columns = zip(*out, strict=True) if out else ([],) * 4
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["label", "mark", "slots", "vals"])
+
+    found = near.join(chosen, ["_label", "_mark"], "left_semi").select("_label", "_mark", "_text").mapInArrow(work, schema)
+    rows = {(r.label, r.mark): (np.frombuffer(r.slots, np.uint16), np.frombuffer(r.vals, np.float32), r.label) for r in found.dropDuplicates(["label", "mark"]).collect()}
+    order = sorted(rows)
+    random.Random(seed).shuffle(order)
+    return [rows[k] for k in order]
 
 
 def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", gap: float = 0.15, carry: tuple[str, ...] = (), limit: float | None = None) -> DataFrame:

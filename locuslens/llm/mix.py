@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from locuslens.llm.common import WORD_PATTERN, cut
+from locuslens.llm.common import WORD_PATTERN, salted
+from locuslens.session import cut
 
 WEIGHTS = (3, 1, 2)
 #: A prime above any number of blocks in a shard: its multiples visit every block once.
@@ -70,8 +71,10 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
 def mix_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, cap: int = 2, block: int = 64, shard_words: int = 1 << 18, seed: str = "mix") -> DataFrame:
     """``key, size, source, source_size, target, taken, shard`` per row of ``docs``; ``taken`` <= ``cap`` * ``size``."""
     words = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD_PATTERN)).cast("bigint")
-    mark = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
-    sizes = cut(docs.select(F.col(key).alias("id"), F.col(source).alias("source"), words.alias("size"), mark.alias("mark")), "sizes")
+    # rows of a key that very many share are told apart, so that they spread over shards
+    own = salted(docs.select(F.col(key).alias("id"), F.col(source).alias("source"), words.alias("size")), "id")
+    name = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit("")), F.when(F.col("_salt") > 0, F.concat(F.lit(":"), F.col("_salt").cast("string"))).otherwise(F.lit("")))
+    sizes = cut(own.select("id", "source", "size", F.md5(name).alias("mark")), "sizes")
     every = W.partitionBy(F.lit(0))
     targets = source_targets(sizes, weights, share, float(cap))
     tokens = F.greatest(F.lit(1), F.least(F.lit(block), F.floor(F.col("total") / (1000 * F.count("*").over(every))))).cast("bigint")

@@ -29,7 +29,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from locuslens.llm.common import connected, cut, small_batches, with_fields
+from locuslens.llm.common import connected, small_batches, with_fields
+from locuslens.session import cut
 
 MIX = tuple(np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3))
 
@@ -49,6 +50,11 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
     return np.unique(mixed * MIX[0] ^ (mixed >> np.uint64(29)))
 
 
+def set_digest(hashes: np.ndarray) -> bytes | None:
+    """The name of a shingle set; null for an empty one."""
+    return xxhash.xxh3_128_digest(hashes.tobytes()) if len(hashes) else None
+
+
 @lru_cache(maxsize=4)
 def probes(bins: int) -> np.ndarray:
     """For each bin the order in which it looks for a full one: a fixed random permutation."""
@@ -88,7 +94,7 @@ def sketches(docs: DataFrame, key: str, text: str, width: int, bands: int, rows:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
             sets = [shingle_set(t, width) for t in batch.column(1).to_pylist()]
-            keys = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
+            keys = [set_digest(x) for x in sets]
             bucket = [band_keys(signature(s, bands * rows), bands, rows) if len(s) else np.zeros(0, np.int64) for s in sets]
             columns = [pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(bucket, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=schema.fieldNames())
@@ -96,16 +102,25 @@ def sketches(docs: DataFrame, key: str, text: str, width: int, bands: int, rows:
     return docs.select(key, text).mapInArrow(work, schema)
 
 
-def full_sets(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """``id, grams``: the whole shingle set of each row."""
-    schema = with_fields(docs.select(F.col(key).alias("id")).schema, "grams array<bigint>")
+def full_sets(wanted: DataFrame, width: int) -> DataFrame:
+    """``id, grams``: the whole shingle set of each vertex of ``wanted (id, want, text)``, from rows whose text has that set.
+
+    A task gives each vertex once, however often its row is repeated there.
+    """
+    schema = with_fields(wanted.select("id").schema, "grams array<bigint>")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given: set[int] = set()
         for batch in small_batches(batches):
-            sets = [shingle_set(t, width).view(np.int64) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "grams"])
+            ids, sets = [], []
+            for i, want, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if i not in given and set_digest(found := shingle_set(text, width)) == want:
+                    given.add(i)
+                    ids.append(i)
+                    sets.append(found.view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, batch.column(0).type), pa.array(sets, pa.list_(pa.int64()))], names=["id", "grams"])
 
-    return docs.select(key, text).mapInArrow(work, schema)
+    return wanted.mapInArrow(work, schema)
 
 
 def remaining_pairs(grams: DataFrame, percent: int) -> DataFrame:
@@ -117,7 +132,7 @@ def remaining_pairs(grams: DataFrame, percent: int) -> DataFrame:
     """
     gram = grams.select("id", "own", F.explode("grams").alias("gram"))
     rarity = gram.groupBy("gram").agg(F.count("*").alias("holders"), (F.min("own") != F.max("own")).alias("shared"))
-    order = gram.join(rarity, "gram").groupBy("id", "own").agg(F.sort_array(F.collect_list(F.struct("holders", "gram", "shared"))).alias("o"))
+    order = gram.join(rarity, "gram").groupBy("id", "own").agg(F.sort_array(F.collect_set(F.struct("holders", "gram", "shared"))).alias("o"))
     order = order.select("id", "own", F.size("o").alias("n"), F.slice("o", 1, F.expr(f"int(size(o) - ceil(size(o) * {percent} / 100.0) + 1)")).alias("o"))
     prefix = order.select("id", "own", "n", F.posexplode("o").alias("at", "x")).where("x.shared").select(F.col("x.gram").alias("gram"), "id", "own", "n", "at")
     prefix = cut(prefix, "prefixes")
@@ -135,24 +150,26 @@ def confirm(pairs: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
     return cut(both.where(100 * joint >= percent * (F.size("ga") + F.size("gb") - joint)).select("a", "b"), "links")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, bands: int = 32, rows: int = 5, passes: int = 3, broadcast_ids: int = 4_000_000) -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, bands: int = 32, rows: int = 5, passes: int = 3, broadcast_ids: int = 1_000_000) -> DataFrame:
     """``key, n_shingles, component_id, kept`` per row of ``docs``: links have Jaccard >= ``percent`` / 100.
 
     At 32 bands of 5 rows a pair at 0.85 shares no bucket with probability 7e-9.
     """
     sketch = cut(sketches(docs, key, text, width, bands, rows), "sketches")
-    reps = cut(sketch.where("set_key is not null").groupBy("set_key").agg(F.min(key).alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "set-representatives")
-    entries = reps.where("rep is not null").select("rep", "n", F.explode("bands").alias("bucket"))
+    # a vertex is a distinct set; its number is fixed once written
+    sets = sketch.where("set_key is not null").groupBy("set_key").agg(F.min(key).alias("least"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+    reps = cut(sets.withColumn("rep", F.monotonically_increasing_id()), "set-representatives")
+    entries = reps.where("least is not null").select("rep", "n", F.explode("bands").alias("bucket"))
     shared = entries.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
     member = cut(entries.join(shared, "bucket"), "bucket-members")
     central = member.groupBy("rep").agg(F.sum("members").alias("central"))
     member = cut(member.select("bucket", "rep", "n").join(central, "rep"), "bucket-ranks")
-    vertices = member.select(F.col("rep").alias("id")).distinct()
-    # vertices are ids only: few enough to send to every task, or else joined by a shuffle of the texts
-    sought = vertices.withColumnRenamed("id", key)
+    vertices = cut(reps.select("rep", "least", "set_key").join(member.select("rep").distinct(), "rep"), "vertices")
+    # a vertex is three numbers: few enough of them to be sent to every task, or else joined by a shuffle of the texts
+    sought = vertices.select(F.col("rep").alias("id"), F.col("set_key").alias("want"), F.col("least").alias("_least"))
     sought = F.broadcast(sought) if vertices.count() <= broadcast_ids else sought
-    wanted = docs.select(key, text).join(sought, key, "left_semi").dropDuplicates([key, text])
-    grams = cut(full_sets(wanted, key, text, width), "shingle-sets")
+    wanted = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(sought, F.col("_key") == F.col("_least")).select("id", "want", "_text")
+    grams = cut(full_sets(wanted, width), "shingle-sets")
 
     tested = links = labels = None
     for turn in range(passes):
@@ -187,6 +204,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     confirmed = confirm(pairs, grams, percent)
     if not confirmed.isEmpty():
         labels = connected(links.union(confirmed), "near")
-    placed = sketch.drop("bands").join(reps.select("set_key", "rep"), "set_key", "left").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
-    component = F.coalesce("component", "rep", key)
+    # components are named by the smallest key of their sets
+    named = labels.withColumnRenamed("id", "rep").join(vertices.select("rep", "least"), "rep")
+    smallest = named.groupBy("component").agg(F.min("least").alias("smallest"))
+    joined = named.join(smallest, "component").select("rep", "smallest")
+    names = reps.select("set_key", "rep", "least").join(joined, "rep", "left").select("set_key", F.coalesce("smallest", "least").alias("name"))
+    placed = sketch.drop("bands").join(names, "set_key", "left")
+    component = F.coalesce("name", key)
     return placed.select(key, "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col(key)).alias("kept"))

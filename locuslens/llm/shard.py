@@ -23,7 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from locuslens.llm.common import cut
+from locuslens.llm.common import salted
+from locuslens.session import cut
 
 
 def hypergeometric(r: np.random.Generator, good: int, bad: int, n: int) -> int:
@@ -80,15 +81,16 @@ def shuffle_into_shards(docs: DataFrame, key: str = "doc_id", text: str = "text"
     spark = docs.sparkSession
     data = F.coalesce(F.col(text), F.lit("")).cast("binary")
     narrow = docs.select(F.col(key), (F.octet_length(data) + overhead).cast("bigint").alias("size"), F.crc32(data).alias("text_crc32"))
-    part = F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(seed)), F.lit(partitions)).cast("int")
-    rows = cut(narrow.withColumn("part", part), "shard-rows")
+    # rows of a key that very many share are told apart, so that no partition or range holds them all
+    part = F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("")), F.col("_salt"), F.lit(seed)), F.lit(partitions)).cast("int")
+    rows = cut(salted(narrow, key).withColumn("part", part), "shard-rows")
     sizes = {r["part"]: r["count"] for r in rows.groupBy("part").count().collect()}  # at most ``partitions`` rows
     counts = [sizes.get(i, 0) for i in range(partitions)]
     ends = communication_matrix(counts, shards, seed).cumsum(1)
     matrix = spark.createDataFrame([(i, e.tolist()) for i, e in enumerate(ends)], "part int, ends array<bigint>")
-    ties = [F.col(key), "size", "text_crc32"]
-    once = slots(rows.withColumn("_h", F.xxhash64(F.col(key).cast("string"), "text_crc32", F.lit(seed + 1))), "part", ties, 8)
+    ties = [F.col(key), "size", "text_crc32", "_salt"]
+    once = slots(rows.withColumn("_h", F.xxhash64(F.col(key).cast("string"), "text_crc32", "_salt", F.lit(seed + 1))), "part", ties, 8)
     sent = once.join(F.broadcast(matrix), "part")  # ``partitions`` x ``shards`` integers, whatever the input
     sent = sent.withColumn("shard", F.size(F.filter("ends", lambda e: e <= F.col("place")))).select(*ties, "shard")
-    again = slots(sent.withColumn("_h", F.xxhash64(F.col(key).cast("string"), "text_crc32", F.lit(seed + 2))), "shard", ties)
+    again = slots(sent.withColumn("_h", F.xxhash64(F.col(key).cast("string"), "text_crc32", "_salt", F.lit(seed + 2))), "shard", ties)
     return again.select(key, "size", "text_crc32", F.col("shard").cast("int").alias("shard"), F.col("place").alias("slot"))

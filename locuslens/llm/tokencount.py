@@ -23,7 +23,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from locuslens.llm.common import cut, prefix_scan, small_batches, with_fields
+from locuslens.llm.common import prefix_scan, small_batches, with_fields
+from locuslens.session import cut
 
 VOCABULARY, SEPARATOR = "/opt/tokenizers/byte_bpe_50k.tiktoken", 50256
 #: Splitting pattern of the vocabulary (fixed value).

@@ -79,6 +79,19 @@ def test_codewords_are_apart():
         assert min(apart) >= 2 and (np.abs(code.sum(0)) < n).all()
 
 
+@pytest.mark.parametrize("attributes", ['title="The hidden truth"', 'data-state="hidden"', 'data-class="ad"', "data-url='/hidden-gems'", 'title="hidden', "aria-hidden=false", 'data-hidden="true"'])
+def test_words_inside_attributes_hide_nothing(attributes):
+    page = f"<html><head><title>t</title><body><nav><a href='/'>Home</a></nav><article><h1>Head line</h1><p {attributes}\">First long sentence of the article that a reader wants.</p><p>Second long sentence of it.</p></article></body></html>"
+    page = page if attributes.endswith("hidden") else page.replace('\">First', ">First")
+    text = html.main_text(page, html.fit())
+    assert text == "Head line First long sentence of the article that a reader wants. Second long sentence of it."
+
+
+def test_hidden_blocks_go():
+    page = "<html><head></head><body><article><h1>Head</h1><p hidden>gone one.</p><p style='display: none'>gone two.</p><p aria-hidden='true'>gone three.</p><p>Kept sentence of the article.</p></article></body></html>"
+    assert html.main_text(page, html.fit()) == "Head Kept sentence of the article."
+
+
 @pytest.fixture(scope="module")
 def lattices():
     return pieces.worker_lattices(pieces.MODEL, 1.0)
