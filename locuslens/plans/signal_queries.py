@@ -45,10 +45,10 @@ def window_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cnv.window_coverage(windows, view(spark, sf_dir, "coverage")).select("chrom", "tile", F.round("coverage", 6).alias("coverage"), "n_intervals")
 
 
-@query(f"""with {MODES}, {duck("coverage")}, tl as (select distinct chrom, tile from t), tr as (select tl.chrom, tl.tile, max(modes) as modes, round(avg(coverage), 6) as coverage from tl join coverage_v c on c.chrom = tl.chrom and c.start < tl.tile + 500000 and c."end" > tl.tile
+@query(f"""with {MODES}, {duck("coverage")}, tl as (select distinct chrom, tile from t), tr as (select tl.chrom, tl.tile, max(modes) as modes, avg(coverage) as coverage from tl join coverage_v c on c.chrom = tl.chrom and c.start < tl.tile + 500000 and c."end" > tl.tile
   left join modes on modes.chrom = tl.chrom and modes.tile = tl.tile group by 1, 2) select row_number() over (order by chrom, tile) - 1 as "index", chrom as "Chromosome", tile as "Start", tile + 500000 as "End", modes as "VAF", coverage as "NormalizedCoverage" from tr""")
 def cnv_track(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cnv.cnv_track(view(spark, sf_dir, "vaf"), view(spark, sf_dir, "coverage")).withColumn("NormalizedCoverage", F.round("NormalizedCoverage", 6))
+    return cnv.cnv_track(view(spark, sf_dir, "vaf"), view(spark, sf_dir, "coverage"))
 
 
 @query(f"with {duck('fastq')}, c as (select substr(seq, 1, 32) as start, count(*) as n from fastq_v group by 1) select start, n from c where n >= 0.001::DOUBLE * (select count(*) from fastq_v)")
