@@ -54,10 +54,15 @@ def time_stamp(pts: int) -> bytes:
     return bytes([0x21 | pts >> 29 & 0x0E, pts >> 22 & 0xFF, 1 | pts >> 14 & 0xFE, pts >> 7 & 0xFF, 1 | pts << 1 & 0xFE])
 
 
+def tables() -> bytes:
+    """The packets of the program association table and of the program map table."""
+    programs = table_packet(PAT_PID, 0, 1, (1).to_bytes(2, "big") + (0xE000 | PMT_PID).to_bytes(2, "big"))
+    return programs + table_packet(PMT_PID, 2, 1, (0xE000 | DATA_PID).to_bytes(2, "big") + b"\xf0\x00" + bytes([PRIVATE_TYPE]) + (0xE000 | DATA_PID).to_bytes(2, "big") + b"\xf0\x00")
+
+
 def write_stream(payload: bytes) -> bytes:
     """The transport stream of one payload."""
-    out = [table_packet(PAT_PID, 0, 1, (1).to_bytes(2, "big") + (0xE000 | PMT_PID).to_bytes(2, "big"))]
-    out.append(table_packet(PMT_PID, 2, 1, (0xE000 | DATA_PID).to_bytes(2, "big") + b"\xf0\x00" + bytes([PRIVATE_TYPE]) + (0xE000 | DATA_PID).to_bytes(2, "big") + b"\xf0\x00"))
+    out = [tables()]
     counter = 0
     first, later = (bytes([SYNC]) + (flag | DATA_PID).to_bytes(2, "big") for flag in (0x4000, 0))
     for n, at in enumerate(range(0, len(payload), UNIT)):

@@ -146,4 +146,33 @@ SELECT doc_id, license, count(*) AS hits, round(count(*) / any_value(n)::DOUBLE,
 GROUP BY doc_id, license HAVING count(*) / any_value(n)::DOUBLE >= 0.8
 """
 
-ORACLE_SQL = {"op2_minhash_neardup": NEARDUP_SQL, "op3_exact_dedup": EXACT_SQL, "op4_mix_sources": MIX_SQL, "op7_license_scan": LICENSE_SQL}
+MEDIA_SQL = rf"""
+WITH p AS (
+  SELECT doc_id, strlen(t) AS n_bytes, t || repeat(' ', (greatest(192, (strlen(t) + 191) // 192 * 192) - strlen(t))::BIGINT) AS body FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+), h AS (SELECT doc_id, n_bytes, body, strlen(body) AS size, hex(encode(body)) AS digits, (strlen(body) + {media.UNIT - 1}) // {media.UNIT} AS units FROM p),
+u AS (SELECT doc_id, unnest(range(0, units)) AS n, digits FROM h),
+e AS (
+  SELECT doc_id, n, n * {media.FRAME} AS pts, substr(digits, n * {2 * media.UNIT} + 1, {2 * media.UNIT}) AS data FROM u
+), f AS (
+  SELECT doc_id, n, pts, CASE WHEN n % {media.KEY_EVERY} = 0 THEN 176 ELSE 184 END AS head,
+    '000001BD' || printf('%04X', length(data) // 2 + 8) || '808005' || printf('%02X%02X%02X%02X%02X', 33 | ((pts >> 29) & 14), (pts >> 22) & 255, 1 | ((pts >> 14) & 254), (pts >> 7) & 255, 1 | ((pts << 1) & 254)) || data AS pes FROM e
+), g AS (
+  SELECT doc_id, n, pts, head, pes, list_transform(range(0, 1 + greatest(0, (length(pes) // 2 - head + 183) // 184)), lambda i: struct_pack(i := i,
+    part := CASE WHEN i = 0 THEN substr(pes, 1, 2 * head) ELSE substr(pes, 2 * (head + (i - 1) * 184) + 1, 368) END)) AS cells FROM f
+), k AS (
+  SELECT doc_id, n, len(cells) AS cells, array_to_string(list_transform(cells, lambda c: CASE
+    WHEN c.i = 0 AND head = 176 THEN '474101300750' || printf('%012X', (pts << 15) | 32256) || c.part
+    WHEN c.i = 0 THEN '47410110' || c.part
+    WHEN length(c.part) = 368 THEN '470101' || printf('%02X', 16 | c.i) || c.part
+    WHEN length(c.part) = 366 THEN '470101' || printf('%02X', 48 | c.i) || '00' || c.part
+    ELSE '470101' || printf('%02X', 48 | c.i) || printf('%02X', 183 - length(c.part) // 2) || '00' || repeat('FF', 182 - length(c.part) // 2) || c.part END), '') AS packets FROM g
+), m AS (SELECT doc_id, sum(cells)::BIGINT + 2 AS packets, unhex('{media.tables().hex()}' || string_agg(packets, '' ORDER BY n)) AS media FROM k GROUP BY doc_id)
+SELECT h.doc_id, n_bytes, size AS payload_bytes, sha256(body) AS payload_sha256,
+  xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(range(0, 16), lambda i: ('0x' || substr(digits, length(digits) - 31 + 2 * i, 2))::BIGINT)),
+    lambda c, b: list_reduce(list_concat([xor(c, b)], range(0, 8)), lambda a, i: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END))) AS tail_crc32,
+  octet_length(media)::BIGINT AS media_bytes, sha256(media) AS media_sha256,
+  printf('packets=%d units=%d access=%d last_pts=%d lost=0', packets, units, (units + {media.KEY_EVERY - 1}) // {media.KEY_EVERY}, (units - 1) * {media.FRAME}) AS feature
+FROM h JOIN m USING (doc_id)
+"""
+
+ORACLE_SQL = {"op2_minhash_neardup": NEARDUP_SQL, "op3_exact_dedup": EXACT_SQL, "op4_mix_sources": MIX_SQL, "op7_license_scan": LICENSE_SQL, "op8_media_columns": MEDIA_SQL}

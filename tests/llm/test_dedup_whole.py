@@ -30,3 +30,12 @@ def test_near_links_without_a_hub(make):
 
 def test_near_links_without_a_hub_more_edits(make):
     assert wrong(make, family(12, 600, (2, 3))) == 0
+
+
+def test_one_key_with_two_texts(make):
+    """Both sets of a key are vertices of their own and link with their own partners."""
+    r = random.Random(12)
+    a, b = (" ".join(f"w{r.randrange(10**6)}" for _ in range(80)) for _ in range(2))
+    rows = [(5, a), (5, b), (7, a + " end"), (9, b + " end"), (11, "alone with other words here")]
+    found = {(x.doc_id, x.n_shingles, x.component_id) for x in neardup.near_duplicates(make(rows), width=3, percent=85).collect()}
+    assert found == {(5, 78, 5), (7, 79, 5), (9, 79, 5), (11, 3, 11)}
