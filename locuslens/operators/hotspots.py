@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from locuslens.operators import intervals
 
 
+#: Header lines of the position list (fixed format).
+HEADER = ("##fileformat=VCFv4.1", "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO")
+
+
 def site_windows(sites: DataFrame, window: int = 200) -> DataFrame:
     """``[start - window, start + window)`` around 1-based site starts, cut off at 0."""
     return sites.select("chrom", F.greatest(F.lit(0), F.col("start") - window).cast("bigint").alias("start"), (F.col("start") + window).cast("bigint").alias("end"))
@@ -31,6 +35,6 @@ def positions(windows: DataFrame, reference: DataFrame) -> DataFrame:
 def vcf_lines(found: DataFrame) -> DataFrame:
     """Text lines of a position list in VCF 4.1, header first; sort by ``rank, chrom, pos``."""
     spark = found.sparkSession
-    header = spark.createDataFrame([(0, "", 0, "##fileformat=VCFv4.1"), (0, "", 1, "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO")], "rank int, chrom string, pos bigint, value string")
+    header = spark.createDataFrame([(0, "", i, line) for i, line in enumerate(HEADER)], "rank int, chrom string, pos bigint, value string")
     body = found.select(F.lit(1).alias("rank"), "chrom", "pos", F.concat_ws("\t", "chrom", F.col("pos").cast("string"), F.lit("."), "base", "alt", F.lit("."), F.lit("."), F.lit(".")).alias("value"))
     return header.unionByName(body)

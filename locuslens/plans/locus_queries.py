@@ -143,7 +143,8 @@ def locus_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"with {LOCI} select locus, locus_start, locus_end from loci where locus_chrom = 'chr19'")
 def chrom_restrict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return locus_rows(spark, sf_dir).where("locus_chrom = 'chr19'").select("locus", "locus_start", "locus_end")
+    # restricted before clustering: loci do not cross chromosomes, and the filter reaches the scan
+    return loci.locus_members(site_rows(spark, sf_dir).where("chrom = 'chr19'"), WINDOW).select("locus", "locus_start", "locus_end")
 
 
 @query(f"with {duck('sites')} select site_id, dna, reverse(translate(dna, 'ACGT', 'TGCA')) as revcomp from sites_v")

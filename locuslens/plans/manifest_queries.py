@@ -112,8 +112,8 @@ def case_cross_bed(spark: SparkSession, sf_dir: str) -> DataFrame:
     from locuslens.session import table
 
     beds = table(spark, sf_dir, "nation").select(F.concat(F.lit("/hot/"), "n_name", F.lit(".bed")).alias("bed"))
-    # every case meets every file of the fixed bed list, here one per nation
-    return rows(spark, sf_dir).select("uid").distinct().crossJoin(F.broadcast(beds))
+    # every case meets every file of the bed list, here one per nation; Spark broadcasts the list only if its size allows
+    return rows(spark, sf_dir).select("uid").distinct().crossJoin(beds)
 
 
 @query(f"""with {CLEAN} select uid, string_agg(id || ',' || lane || ',' || split_part(read1, '/', 3) || ',' || coalesce(split_part(read2, '/', 3), ''), ';' order by ordinal) as fastq_list, count(*) as n_files from m where read1 is not null group by uid""")
