@@ -40,3 +40,47 @@ def test_candidates_are_not_in_the_control(small):
 
 def test_support_of_every_indel_allele(small):
     assert {r.pos: r.control_alt for r in locus_queries.control_support(small, "").collect()} == {301: 1, 311: 0, 371: 1}
+
+
+def test_support_counts_by_brute_force(spark):
+    """Every allele against every control read of its locus, one pair at a time."""
+    from locuslens.operators import control
+
+    r = random.Random(15)
+    genome = "".join(r.choice("ACGT") for _ in range(1600))
+    tiles = intervals.reference_tiles(spark.createDataFrame([("chr1", i, genome[i * 32 : i * 32 + 32]) for i in range(50)], "chrom string, chunk long, bases string"))
+    events = []  # locus, 0-based first base, deleted bases, inserted bases
+    for locus, lo in (("A", 400), ("B", 1000)):
+        for _ in range(8):
+            n = r.randint(1, 6)
+            events.append((locus, r.randint(lo, lo + 60), n if r.random() < 0.6 else 0, "" if r.random() < 0.5 else "".join(r.choice("ACGT") for _ in range(n))))
+    alleles, reads = [], []
+    for locus, at, gone, new in events:
+        alleles.append((locus, "chr1", at + 1, genome[at : at + gone + 1], genome[at] + new, "INDEL", at))
+        for _ in range(r.randint(0, 3)):
+            a, b = at - r.randint(30, 60), at + 1 + gone + r.randint(30, 60)
+            cigar = f"{at + 1 - a}M" + (f"{len(new)}I" if new else "") + (f"{gone}D" if gone else "") + f"{b - at - 1 - gone}M"
+            cigar = cigar if gone or new else f"{b - a}M"
+            reads += [(f"q{len(reads)}", 3, "chr1", a, b, 60, cigar, genome[a : at + 1] + new + genome[at + 1 + gone : b], len(reads))] * r.randint(1, 2)
+    for _ in range(12):  # reads of neither kind, clipped or not
+        a = r.choice((370, 980)) + r.randint(0, 60)
+        reads.append((f"q{len(reads)}", 3, "chr1", a, a + 70, 60, r.choice(("10S70M", "70M10S", "30M2D40M", "70M")), "".join(r.choice("ACGT") for _ in range(80)), len(reads)))
+    sites = [("A", "chr1", 400, 460), ("B", "chr1", 1000, 1060)]
+    columns = "locus string, chrom string, pos long, ref string, alt string, type string, tag long"
+    found = control.control_support(spark.createDataFrame(alleles, columns), spark.createDataFrame(reads, "qname string, flag int, chrom string, pos long, end long, mapq int, cigar string, seq string, ordinal long"), spark.createDataFrame(sites, "locus string, locus_chrom string, locus_start long, locus_end long"), tiles, ["locus", "pos", "ref", "alt", "tag"])
+    want = {}
+    for locus, _, pos, ref, alt, _, tag in alleles:
+        _, _, lo, hi = next(s for s in sites if s[0] == locus)
+        at, grown, count = pos - 1, len(alt) - len(ref), 0
+        ref_hap = genome[at - 150 : at + len(ref) + 150]
+        alt_hap = ref_hap[:150] + alt + ref_hap[-150:]
+        for _, _, _, a, b, _, cigar, seq, _ in reads:
+            plain = "S" not in cigar
+            if not (a < hi and b > lo - 100) or cigar == f"{len(seq)}M" or (plain and (grown < 0 and "D" not in cigar or grown > 0 and "I" not in cigar)):
+                continue
+            (score,), (deleted,), (inserted,) = control.align([seq], [ref_hap])
+            to_alt = control.align([seq], [alt_hap])[0][0]
+            count += bool(grown and to_alt > 0 and to_alt - 5 > score and (deleted == -grown if grown < 0 else inserted == grown))
+        want[(locus, pos, ref, alt, tag)] = count
+    assert {tuple(x)[:5]: x.control_alt for x in found.collect()} == want
+    assert sum(want.values()) > 10
