@@ -8,9 +8,9 @@ start. A bucket proposes a star, its most central member against the others, so
 bucket entries; stars are confirmed on the full shingle sets, confirmed links are contracted to
 components, and buckets that still hold several components propose further stars (``passes``) from a
 member outside the first hub's component. Stars only contract cheaply what is linked closely; a last
-step tests every pair that they left: members of buckets that still hold several components are joined
-on the rarest shingles of their sets (prefix filter, exact), and every pair of different components that
-can reach the threshold is confirmed or refused on the full sets. Hot buckets and hot hubs only make join
+step finds every link that they left: in buckets that still hold several components, members are joined
+on the rarest of their differences from the bucket's hub, which two linked members must share (exact),
+and the pairs found are confirmed or refused on the full sets. Hot buckets and hot hubs only make join
 partitions large, which adaptive execution splits; nothing collects a bucket.
 
 Defined results: null and blank texts have 0 shingles and are linked with nothing; fewer words than a
@@ -123,23 +123,33 @@ def full_sets(wanted: DataFrame, width: int) -> DataFrame:
     return wanted.mapInArrow(work, schema)
 
 
-def remaining_pairs(grams: DataFrame, percent: int) -> DataFrame:
-    """``a, b``: all pairs of different ``own`` among ``grams (id, own, grams)`` that can reach the threshold.
+def remaining_pairs(stars: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: all pairs of different ``own`` below a common hub that can reach the threshold.
 
-    With the shingles in one global order, rarest first, two sets of Jaccard similarity ``percent`` / 100
-    share one of the first ``n - ceil(n percent / 100) + 1`` of each, and their first common one leaves
-    enough places behind it for the overlap they need.
+    ``stars`` are ``(hub, hub_own, id, own)``. Members are described by what they add to the hub's set and
+    what they lack of it. Two sets differ in at most ``c (n_a + n_b)`` shingles, c = (100 - percent) / (100 +
+    percent), if they are linked; a member outside the hub's component differs from the hub by more than that,
+    so it shares at least ``o = (d + c (n_hub - n)) / 2`` differences with a linked member of ``n`` shingles
+    and ``d`` differences. Members that differ from the hub each in its own way meet nowhere, however many
+    they are: of the differences, rarest first, a pair has one in common among the first ``d - o + 1`` of
+    each, if neither is in the hub's component; else among the first ``d - o + 1`` of the one that is and all
+    of the other.
     """
-    gram = grams.select("id", "own", F.explode("grams").alias("gram"))
-    rarity = gram.groupBy("gram").agg(F.count("*").alias("holders"), (F.min("own") != F.max("own")).alias("shared"))
-    order = gram.join(rarity, "gram").groupBy("id", "own").agg(F.sort_array(F.collect_set(F.struct("holders", "gram", "shared"))).alias("o"))
-    order = order.select("id", "own", F.size("o").alias("n"), F.slice("o", 1, F.expr(f"int(size(o) - ceil(size(o) * {percent} / 100.0) + 1)")).alias("o"))
-    prefix = order.select("id", "own", "n", F.posexplode("o").alias("at", "x")).where("x.shared").select(F.col("x.gram").alias("gram"), "id", "own", "n", "at")
-    prefix = cut(prefix, "prefixes")
-    left, right = (prefix.select("gram", *(F.col(c).alias(f"{c}_{side}") for c in ("id", "own", "n", "at"))) for side in "ab")
-    room = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
-    met = left.join(right, "gram").where("own_a < own_b").where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    met = met.where((100 + percent) * room >= percent * (F.col("n_a") + F.col("n_b")))
+    c = (100.0 - percent) / (100.0 + percent)
+    own = stars.join(grams.select("id", F.col("grams").alias("g")), "id").join(grams.select(F.col("id").alias("hub"), F.col("grams").alias("h")), "hub")
+    lacks = F.transform(F.array_except("h", "g"), lambda x: F.xxhash64(x, F.lit("lacks")))
+    own = own.select("hub", "id", "own", (F.col("own") == F.col("hub_own")).alias("inside"), F.size("g").alias("n"), F.size("h").alias("n_hub"), F.concat(F.array_except("g", "h"), lacks).alias("diff"))
+    least = F.greatest(F.lit(1), F.ceil((F.size("diff") + c * (F.col("n_hub") - F.col("n"))) / 2 - 1e-9)).cast("int")
+    parts = cut(own.select("hub", "id", "own", "inside", "n", F.size("diff").alias("d"), least.alias("o"), F.explode("diff").alias("x")), "differences")
+    holders = parts.groupBy("hub", "x").agg(F.count("*").alias("holders"), F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo != hi").select("hub", "x", "holders")
+    # differences that one component alone holds come first and join nothing
+    order = parts.join(holders, ["hub", "x"], "left").groupBy("hub", "id", "own", "inside", "n", "d", "o")
+    order = order.agg(F.sort_array(F.collect_set(F.struct(F.coalesce("holders", F.lit(0)).alias("holders"), "x"))).alias("e"))
+    listed = order.select("hub", "id", "own", "inside", "n", (F.col("d") - F.col("o") + 1).alias("first"), F.posexplode("e").alias("at", "e")).where("e.holders > 0")
+    listed = cut(listed.select("hub", F.col("e.x").alias("x"), "id", "own", "inside", "n", "at", "first"), "shared-differences")
+    left, right = (listed.select("hub", "x", *(F.col(k).alias(f"{k}_{side}") for k in ("id", "own", "inside", "n", "at", "first"))) for side in "ab")
+    met = left.where("at_a < first_a").join(right.where("not inside_b"), ["hub", "x"]).where("own_a != own_b and (inside_a or (id_a < id_b and at_b < first_b))")
+    met = met.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
     return met.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
 
 
@@ -196,11 +206,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
             continue
         links = confirmed if links is None else links.union(confirmed)
         labels = connected(links, "near")
-    # what the stars left: every untested pair of different components inside a bucket
-    owned = member.select("bucket", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("bucket", "rep", F.coalesce("component", "rep").alias("own"))
-    mixed = owned.groupBy("bucket").agg(F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo != hi").select("bucket")
-    open_ = owned.join(mixed, "bucket").select(F.col("rep").alias("id"), "own").distinct()
-    pairs = cut(remaining_pairs(cut(grams.join(open_, "id").select("id", "own", "grams"), "open-sets"), percent).join(tested, ["a", "b"], "left_anti"), "remaining-pairs")
+    # what the stars left: pairs of different components inside a bucket, found by their differences from the
+    # hub of the first pass, whose pairs with all members are tested
+    owned = member.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("bucket", "rep", "central", F.coalesce("component", "rep").alias("own"))
+    hub = owned.groupBy("bucket").agg(F.max(F.struct("central", -F.col("rep"), "own")).alias("h"), F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo != hi")
+    hub = hub.select("bucket", (-F.col("h.col2")).alias("hub"), F.col("h.own").alias("hub_own"))
+    stars = cut(owned.join(hub, "bucket").where("rep != hub").select("hub", "hub_own", F.col("rep").alias("id"), "own").distinct(), "last-stars")
+    pairs = cut(remaining_pairs(stars, grams, percent).join(tested, ["a", "b"], "left_anti"), "remaining-pairs")
     confirmed = confirm(pairs, grams, percent)
     if not confirmed.isEmpty():
         labels = connected(links.union(confirmed), "near")
