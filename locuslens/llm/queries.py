@@ -1,11 +1,11 @@
-"""Registered queries of the ten corpus operators, and DuckDB SQL where it can express them."""
+"""Registered queries of the corpus operators, and DuckDB SQL where it can express them."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locuslens.llm import exactdup, html, langid, licenses, media, mix, neardup, pieces, shard, tokencount
+from locuslens.llm import exactdup, html, langid, licenses, media, merkle, mix, neardup, packing, pieces, shard, tokencount, vectorcodes
 from locuslens.session import table
 
 
@@ -61,13 +61,25 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segmentations(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.compress(table(spark, sf_dir, "embeddings")).drop("label")
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.prove(table(spark, sf_dir, "documents"), tampered=merkle.without_newlines())
+
+
 def segmentations(docs: DataFrame) -> DataFrame:
     """Two distinct sampled segmentations per document, checked by decoding them."""
     drawn = pieces.encode_samples(docs.select("doc_id", "text"), k=2)
     return drawn.select("doc_id", "sample", F.size("ids").cast("bigint").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), "log_prob", "perturbed", "log_inclusion", "round_trip")
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_minhash_neardup, op3_exact_dedup, op4_mix_sources, op5_token_counts, op6_sharding, op7_license_scan, op8_media_columns, op9_language_id, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_minhash_neardup, op3_exact_dedup, op4_mix_sources, op5_token_counts, op6_sharding, op7_license_scan, op8_media_columns, op9_language_id, op10_sentencepiece, op11_vector_codes, op12_packing, op13_merkle_manifest)}
 
 UPPER_LOWER = f"'{licenses.UPPER}', '{licenses.LOWER}'"
 
@@ -175,4 +187,65 @@ SELECT h.doc_id, n_bytes, size AS payload_bytes, sha256(body) AS payload_sha256,
 FROM h JOIN m USING (doc_id)
 """
 
-ORACLE_SQL = {"op2_minhash_neardup": NEARDUP_SQL, "op3_exact_dedup": EXACT_SQL, "op4_mix_sources": MIX_SQL, "op7_license_scan": LICENSE_SQL, "op8_media_columns": MEDIA_SQL}
+
+def codes_round(n: int, update: bool) -> str:
+    """Nearest entries of book ``n``, and the book after it."""
+    assigned = f"""a{n} AS MATERIALIZED (SELECT r, part, min(struct_pack(d := d, e := entry)) AS best FROM (
+  SELECT r, p.part, entry, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM p JOIN b{n} b ON b.part = p.part) GROUP BY ALL)"""
+    if not update:
+        return assigned
+    return f"""{assigned}, m{n} AS (SELECT part, entry, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS c FROM (
+  SELECT a.part, best.e AS entry, i, sum(x[i]) AS s, count(*) AS n FROM a{n} a JOIN p USING (r, part), width w, unnest(range(1, w.w + 1)) t(i) GROUP BY ALL) GROUP BY ALL),
+b{n + 1} AS MATERIALIZED (SELECT part, entry, coalesce(m.c, b.c) AS c FROM b{n} b LEFT JOIN m{n} m USING (part, entry))"""
+
+
+CODES_SQL = f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, ints) AS r, vec_id, label, ints FROM (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(x::DOUBLE * {vectorcodes.SCALE})::BIGINT) AS ints FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)),
+width AS (SELECT max(len(ints)) // {vectorcodes.PARTS} AS w FROM v),
+p AS MATERIALIZED (SELECT r, q AS part, ints[q * w + 1:(q + 1) * w] AS x FROM v, width, unnest(range(0, {vectorcodes.PARTS})) t(q)),
+b0 AS MATERIALIZED (SELECT part, r - 1 AS entry, x AS c FROM p WHERE r <= {vectorcodes.ENTRIES}),
+{", ".join(codes_round(n, n < vectorcodes.ROUNDS) for n in range(vectorcodes.ROUNDS + 1))},
+coded AS (SELECT r, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code, sum(best.d)::BIGINT AS error FROM a{vectorcodes.ROUNDS} GROUP BY r),
+books AS (SELECT sha256(array_to_string(flatten(list(c ORDER BY part, entry)), ',')) AS codebooks_sha256 FROM b{vectorcodes.ROUNDS})
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM v JOIN coded USING (r), books
+"""
+
+
+def merkle_levels(name: str, leaves: str, group: str, levels: int) -> str:
+    """Runs and rows with their path so far, level by level, for trees of up to ``3 ** levels`` leaves."""
+    steps = [f"{name}n0 AS MATERIALIZED (SELECT {group}, i, h FROM {leaves}), {name}p0 AS MATERIALIZED (SELECT * FROM {leaves})"]
+    for n in range(levels):
+        steps.append(f"""{name}r{n} AS MATERIALIZED (SELECT {group}, i // 3 AS run, list(h ORDER BY i) AS hs, any_value(c) AS c FROM (SELECT *, count(*) OVER (PARTITION BY {group}) AS c FROM {name}n{n}) GROUP BY {group}, i // 3),
+{name}n{n + 1} AS MATERIALIZED (SELECT {group}, run AS i, CASE WHEN c > 1 THEN sha256(array_to_string(hs, '')) ELSE hs[1] END AS h FROM {name}r{n}),
+{name}p{n + 1} AS MATERIALIZED (SELECT p.* REPLACE (i // 3 AS i,
+  path || CASE WHEN c > 1 THEN [struct_pack(a := array_to_string(hs[:i % 3], ''), b := array_to_string(hs[i % 3 + 2:], ''))] ELSE [] END AS path)
+  FROM {name}p{n} p JOIN {name}r{n} r ON r.{group} IS NOT DISTINCT FROM p.{group} AND r.run = p.i // 3)""")
+    return ",\n".join(steps)
+
+
+def leaf_sql(text: str) -> str:
+    return "sha256(" + " || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def fold_sql(start: str) -> str:
+    return f"list_reduce(list_concat([struct_pack(a := {start}, b := '')], path), lambda h, s: struct_pack(a := sha256(s.a || h.a || s.b), b := '')).a"
+
+
+NO_PATH = "[]::STRUCT(a VARCHAR, b VARCHAR)[]"
+#: Trees of up to 3 ** 12 documents of a source and 3 ** 8 sources, far above the tables that SQL runs on.
+MERKLE_SQL = f"""
+WITH d AS (SELECT *, CASE WHEN xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: list_reduce(list_concat([xor(c, b)], range(0, 8)), lambda a, i: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END))) % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS altered FROM documents),
+lf AS (SELECT doc_id, coalesce('s' || source, '') AS tree, {leaf_sql("text")} AS leaf, {leaf_sql("altered")} AS changed FROM d),
+l0 AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, leaf AS h, {NO_PATH} AS path FROM lf),
+{merkle_levels("s", "l0", "tree", 12)},
+t0 AS MATERIALIZED (SELECT 1 AS every, tree, row_number() OVER (ORDER BY tree) - 1 AS i, h, h AS subroot, {NO_PATH} AS path FROM sn12),
+{merkle_levels("t", "t0", "every", 8)},
+whole AS (SELECT doc_id, leaf, changed, subroot, tn8.h AS root, p.path || q.path AS path FROM sp12 p JOIN tp8 q USING (tree), tn8),
+checked AS (SELECT *, {fold_sql("changed")} AS folded_root FROM whole)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda s: s.a || s.b), '')) AS proof_sha256, folded_root, folded_root = root AS verified FROM checked
+"""
+
+ORACLE_SQL = {"op2_minhash_neardup": NEARDUP_SQL, "op3_exact_dedup": EXACT_SQL, "op4_mix_sources": MIX_SQL, "op7_license_scan": LICENSE_SQL, "op8_media_columns": MEDIA_SQL, "op11_vector_codes": CODES_SQL, "op13_merkle_manifest": MERKLE_SQL}
