@@ -3,8 +3,9 @@
 All steps are column expressions over CIGAR strings, for all loci and samples at once. Three tables are
 written on the way (pairs with their parsed fields, pairs with their joined CIGAR, records without reference
 bases): each is read more than once, and plans stay small. Deletions implied by a clip are true gaps between the two aligned parts, so that the same deletion
-gets one allele whether a read was clipped or not. A clip whose supplementary alignment is near but of a
-shape that cannot be spliced is classified by its own alignment (no realignment of whole reads).
+gets one allele whether a read was clipped or not. A read whose supplementary alignment is near but of a shape
+that cannot be spliced is aligned anew to the reference between both parts; only these few pairs leave the
+JVM, distinct by sequence and slice.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locuslens.functions import dna
-from locuslens.operators import alignments, intervals
+from locuslens.operators import alignments, intervals, realign
 from locuslens.session import cut
 
 KEY = ["sample", "qname", "ordinal", "locus"]
@@ -67,13 +68,39 @@ def near_supplementary(min_sa_mapq: int = 10, max_nm: int = 5, far: int = 100_00
 ASKS = "(left_clip > right_clip and not near_left) or (right_clip > left_clip and s is null)"
 
 
-def classify(pairs: DataFrame, reference: DataFrame, window: int = 100, distance: int = 25, min_sa_mapq: int = 10, max_nm: int = 5, far: int = 100_000, least_clip: int = 5) -> DataFrame:
-    """Variant record of every read-locus pair that passes the filters: the key columns, ``chrom2``, ``pos2``, ``strands``, ``ref``, ``alt``, ``type``."""
+def with_parts(own: DataFrame, min_sa_mapq: int = 10, max_nm: int = 5, far: int = 100_000) -> DataFrame:
+    """Parsed pairs with how their supplementary alignment goes on: near on which side, whether it can be spliced, whether the clip asks the reference."""
+    own = own.withColumns(near_supplementary(min_sa_mapq, max_nm, far))
+    splice_left = F.col("near_left") & (F.col("s_right") > 0) & (F.col("s_lead") == F.col("left_clip"))
+    splice_right = F.col("near_right") & (F.col("s_tail") == F.col("right_clip"))
+    return own.withColumns({"splice_left": splice_left, "splice_right": splice_right, "asks": F.expr(ASKS)})
+
+
+#: Near parts that cannot be spliced: the whole read is aligned from the first base of one part to the last of the other.
+UNSPLICED = "seq is not null and (near_left and not splice_left or near_right and not splice_right)"
+
+
+def realign_parts(own: DataFrame, reference: DataFrame) -> DataFrame:
+    """Pairs of ``UNSPLICED`` shape with ``realigned``, the read's CIGAR on the slice of both parts; null where the reference lacks it."""
+    odd = own.where(UNSPLICED)
+    odd = odd.withColumn("_a", F.when(F.col("near_left"), F.col("s")["pos"] - 1).otherwise(F.col("pos")))
+    odd = odd.withColumn("_b", F.when(F.col("near_left"), F.col("end")).otherwise(F.col("s")["pos"] - 1 + F.col("s_span")))
+    odd = cut(intervals.fetch_sequence(odd, reference, "chrom", "_a", "_b", "slice"), "unspliced-reads")
+    found = realign.realigned(odd.where("slice is not null and seq != ''"))
+    return odd.join(found, ["slice", "seq"], "left").select(*own.columns, "realigned")
+
+
+def classify(pairs: DataFrame, reference: DataFrame, window: int = 100, distance: int = 25, min_sa_mapq: int = 10, max_nm: int = 5, far: int = 100_000, least_clip: int = 5, realigns: bool = True) -> DataFrame:
+    """Variant record of every read-locus pair that passes the filters: the key columns, ``chrom2``, ``pos2``, ``strands``, ``ref``, ``alt``, ``type``.
+
+    Without ``realigns``, reads whose near parts cannot be spliced go by their own alignment.
+    """
     c, left, right = F.col("cigar"), F.col("left_clip"), F.col("right_clip")
-    own = parsed(pairs, max_nm).withColumns(near_supplementary(min_sa_mapq, max_nm, far))
-    splice_left = F.col("near_left") & (F.col("s_right") > 0) & (F.col("s_lead") == left)
-    splice_right = F.col("near_right") & (F.col("s_tail") == right)
-    own = own.withColumns({"splice_left": splice_left, "splice_right": splice_right, "asks": F.expr(ASKS)})
+    own = with_parts(parsed(pairs, max_nm), min_sa_mapq, max_nm, far)
+    if realigns:
+        own = own.where(f"not coalesce({UNSPLICED}, false)").withColumn("realigned", F.lit(None).cast("string")).unionByName(realign_parts(own, reference))
+    else:
+        own = own.withColumn("realigned", F.lit(None).cast("string"))
     own = reanchor_clips(own, reference, window, least_clip, F.col("asks"))
     body = F.regexp_replace(c, "^[0-9]+S", "")
     trunk = F.regexp_replace(c, "[0-9]+S$", "")
@@ -82,6 +109,7 @@ def classify(pairs: DataFrame, reference: DataFrame, window: int = 100, distance
     joined = (
         F.when(F.col("splice_left"), F.concat(F.regexp_replace(F.col("s")["cigar"], f"[0-9]+[{dna.CLIP_OPS}]$", ""), gap(F.col("pos") - (F.col("s")["pos"] - 1 + F.col("s_span"))), body))
         .when(F.col("splice_right"), F.concat(trunk, gap(F.col("s")["pos"] - 1 - F.col("end")), F.regexp_replace(F.col("s")["cigar"], f"^[0-9]+[{dna.CLIP_OPS}]", "")))
+        .when(F.col("realigned").isNotNull(), F.col("realigned"))
         .when(F.col("hit").isNotNull() & (left > right), F.concat(m(left), gap(F.col("pos") - F.col("hit") - left), body))
         .when(F.col("hit").isNotNull(), F.concat(trunk, gap(F.col("hit") - F.col("end")), m(right)))
         .otherwise(c)
@@ -90,7 +118,7 @@ def classify(pairs: DataFrame, reference: DataFrame, window: int = 100, distance
     own = own.withColumns({"joined": joined, "start1": start})
     span_end = F.col("start1") + dna.op_total(F.col("joined"), "MDN")
     end = F.when((right > left) & (F.col("s").isNotNull() | F.col("hit").isNotNull()), span_end).otherwise(F.col("end1"))
-    own = cut(own.withColumn("end1", end).drop("cigar", "pos", "end", "hit", "asks", "near_left", "near_right", "splice_left", "splice_right", "s_lead", "s_tail"), "joined-reads")
+    own = cut(own.withColumn("end1", end).drop("cigar", "pos", "end", "hit", "asks", "near_left", "near_right", "splice_left", "splice_right", "s_lead", "s_tail", "realigned"), "joined-reads")
     own = own.where((F.col("start1") - left < F.col("locus_end") + distance) & (F.col("end1") + right > F.col("locus_start") - distance))
     # strip outer clips, then the outer matches: what is left is the event
     q_from = dna.left_clip(F.col("joined"), dna.CLIP_OPS)

@@ -78,6 +78,7 @@ DEPTH = f"""depth as (select l.locus, count(distinct qname) as control_reads fro
 
 
 # ---- shared frames -----------------------------------------------------------------------------------
+# SQL cannot align reads: queries with SQL classify by the reads' own alignments, those without it with realignment.
 def site_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loci.site_intervals(view(spark, sf_dir, "sites"))
 
@@ -90,28 +91,28 @@ def paired(spark: SparkSession, sf_dir: str, sites: DataFrame | None = None) ->
     return classify.reads_in_loci(view(spark, sf_dir, "reads"), locus_rows(spark, sf_dir) if sites is None else sites, WINDOW)
 
 
-def class_rows(spark: SparkSession, sf_dir: str, sites: DataFrame | None = None) -> DataFrame:
+def class_rows(spark: SparkSession, sf_dir: str, sites: DataFrame | None = None, realigns: bool = False) -> DataFrame:
     sites = cut(locus_rows(spark, sf_dir), "loci") if sites is None else sites
-    return classify.classify(paired(spark, sf_dir, sites), adapters.reference(spark, sf_dir), WINDOW, DISTANCE)
+    return classify.classify(paired(spark, sf_dir, sites), adapters.reference(spark, sf_dir), WINDOW, DISTANCE, realigns=realigns)
 
 
-def allele_rows(spark: SparkSession, sf_dir: str, sites: DataFrame | None = None) -> DataFrame:
-    return classify.count_alleles(classify.collapse_fragments(class_rows(spark, sf_dir, sites)))
+def allele_rows(spark: SparkSession, sf_dir: str, sites: DataFrame | None = None, realigns: bool = False) -> DataFrame:
+    return classify.count_alleles(classify.collapse_fragments(class_rows(spark, sf_dir, sites, realigns)))
 
 
-def distant_rows(spark: SparkSession, sf_dir: str, sites: DataFrame | None = None) -> DataFrame:
+def distant_rows(spark: SparkSession, sf_dir: str, sites: DataFrame | None = None, realigns: bool = False) -> DataFrame:
     sites = cut(locus_rows(spark, sf_dir), "loci") if sites is None else sites
-    return loci.with_distance(allele_rows(spark, sf_dir, sites).where("sample = 'edited'"), sites)
+    return loci.with_distance(allele_rows(spark, sf_dir, sites, realigns).where("sample = 'edited'"), sites)
 
 
-def unscored_rows(spark: SparkSession, sf_dir: str, sites: DataFrame, least_reads: int = 1) -> DataFrame:
+def unscored_rows(spark: SparkSession, sf_dir: str, sites: DataFrame, least_reads: int = 1, realigns: bool = False) -> DataFrame:
     """Edited alleles that pass all filters but that of the control, whose support is not looked at."""
-    return loci.candidate_filter(distant_rows(spark, sf_dir, sites).withColumn("control_alt", F.lit(0).cast("bigint")), least_reads, distance=DISTANCE)
+    return loci.candidate_filter(distant_rows(spark, sf_dir, sites, realigns).withColumn("control_alt", F.lit(0).cast("bigint")), least_reads, distance=DISTANCE)
 
 
 def filtered_rows(spark: SparkSession, sf_dir: str, sites: DataFrame, least_reads: int = 1) -> DataFrame:
     """Edited alleles that pass all filters, scored in the control; as the filters are joined by "and", those that another one drops need no score."""
-    others = cut(unscored_rows(spark, sf_dir, sites, least_reads).drop("control_alt"), "alleles")  # classified once, read by the scorer and the filter
+    others = cut(unscored_rows(spark, sf_dir, sites, least_reads, realigns=True).drop("control_alt"), "alleles")  # classified once, read by the scorer and the filter
     scored = control.with_control_alt(others, control_reads(spark, sf_dir), sites, adapters.reference(spark, sf_dir), WINDOW)
     return loci.candidate_filter(scored, least_reads, distance=DISTANCE)
 
@@ -263,6 +264,19 @@ def clip_reanchor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify.reanchor_clips(own, adapters.reference(spark, sf_dir), WINDOW).where("hit is not null").select("ordinal", "locus", "hit")
 
 
+@query()
+def realigned_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads whose near parts cannot be spliced, with their CIGAR between both parts, which SQL cannot compute."""
+    own = classify.with_parts(classify.parsed(paired(spark, sf_dir)))
+    return classify.realign_parts(own, adapters.reference(spark, sf_dir)).select("sample", "qname", "ordinal", "locus", "near_left", "cigar", F.col("s")["cigar"].alias("sa_cigar"), "realigned")
+
+
+@query()
+def read_classes_realigned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``read_classes`` with reads of unspliced parts aligned anew, as the scored report uses them."""
+    return class_rows(spark, sf_dir, realigns=True)
+
+
 @query(f"with {CLASSES} select * from classes")
 def read_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return class_rows(spark, sf_dir)
@@ -327,8 +341,8 @@ def control_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def control_support(spark: SparkSession, sf_dir: str) -> DataFrame:
     sites = cut(locus_rows(spark, sf_dir), "loci")
-    edited = cut(allele_rows(spark, sf_dir, sites).where("sample = 'edited' and type = 'INDEL'"), "alleles")
-    return control.control_support(edited, control_reads(spark, sf_dir), sites, adapters.reference(spark, sf_dir), ["locus", "pos", "ref", "alt"], WINDOW)
+    edited = cut(allele_rows(spark, sf_dir, sites, True).where("sample = 'edited' and type = 'INDEL'"), "alleles")
+    return control.control_support(edited, control_reads(spark, sf_dir), sites, adapters.reference(spark, sf_dir), ["locus", "chrom", "pos", "chrom2", "pos2", "strands", "ref", "alt"], WINDOW)
 
 
 @query(f"""with {DISTANCES}, {DEPTH}, f as (select * from far where sample = 'edited' and ((counts >= 1 and coalesce(distance <= {DISTANCE}, false)) or ref = '.') and not contains(alt, 'N')),
