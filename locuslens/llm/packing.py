@@ -135,7 +135,8 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: s
     histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most ``capacity`` rows
     table = spark.createDataFrame(slots(pack_histogram(histogram, capacity)), "_length bigint, first_rank bigint, places bigint, first_sequence bigint, times bigint, at bigint")
     before = F.coalesce(F.sum("n").over(W.partitionBy("length").orderBy("task").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    ranks = written.join(cut(counts.select("length", "task", before.alias("before")), "piece-offsets"), ["length", "task"]).withColumn("_rank", F.col("before") + F.col("place"))
+    # the offsets grow with the tasks and compress so well that their files look smaller than they are: never broadcast
+    ranks = written.join(counts.select("length", "task", before.alias("before")).hint("merge"), ["length", "task"]).withColumn("_rank", F.col("before") + F.col("place"))
     # bounded by the capacity, whatever the input
     own = (F.col("length") == F.col("_length")) & (F.col("_rank") >= F.col("first_rank")) & (F.col("_rank") < F.col("first_rank") + F.col("places"))
     place = F.col("_rank") - F.col("first_rank")
