@@ -9,8 +9,8 @@ bucket entries; stars are confirmed on the full shingle sets, confirmed links ar
 components, and buckets that still hold several components propose further stars (``passes``) from a
 member outside the first hub's component. Stars only contract cheaply what is linked closely; a last
 step tests every pair that they left: members of buckets that still hold several components are joined
-on the rarest shingles of their sets (prefix filter, exact), and every pair of different components that
-can reach the threshold is confirmed or refused on the full sets. Hot buckets and hot hubs only make join
+on the rarest shingles of their sets (prefix filter and parity sketch, both exact), and every pair of different
+components that can reach the threshold is confirmed or refused on the full sets. Hot buckets and hot hubs only make join
 partitions large, which adaptive execution splits; nothing collects a bucket.
 
 Defined results: null and blank texts have 0 shingles and are linked with nothing; fewer words than a
@@ -33,6 +33,8 @@ from locuslens.llm.common import connected, small_batches, with_fields
 from locuslens.session import cut
 
 MIX = tuple(np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3))
+#: 64-bit words of a parity sketch.
+SKETCH = 16
 
 
 def shingle_set(text: str | None, width: int) -> np.ndarray:
@@ -102,12 +104,18 @@ def sketches(docs: DataFrame, key: str, text: str, width: int, bands: int, rows:
     return docs.select(key, text).mapInArrow(work, schema)
 
 
+def parity_sketch(hashes: np.ndarray) -> np.ndarray:
+    """Every shingle toggles one of ``64 * SKETCH`` bits: two sketches differ in no more bits than their sets in shingles."""
+    odd = np.bincount((hashes % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 def full_sets(wanted: DataFrame, width: int) -> DataFrame:
-    """``id, grams``: the whole shingle set of each vertex of ``wanted (id, want, text)``, from rows whose text has that set.
+    """``id, grams, parity``: the whole shingle set of each vertex of ``wanted (id, want, text)`` and its sketch, from rows whose text has that set.
 
     A task gives each vertex once, however often its row is repeated there.
     """
-    schema = with_fields(wanted.select("id").schema, "grams array<bigint>")
+    schema = with_fields(wanted.select("id").schema, "grams array<bigint>, parity array<bigint>")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given: set[int] = set()
@@ -118,28 +126,33 @@ def full_sets(wanted: DataFrame, width: int) -> DataFrame:
                     given.add(i)
                     ids.append(i)
                     sets.append(found.view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, batch.column(0).type), pa.array(sets, pa.list_(pa.int64()))], names=["id", "grams"])
+            sketch = [parity_sketch(x.view(np.uint64)) for x in sets]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, batch.column(0).type), pa.array(sets, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int64()))], names=["id", "grams", "parity"])
 
     return wanted.mapInArrow(work, schema)
 
 
 def remaining_pairs(grams: DataFrame, percent: int) -> DataFrame:
-    """``a, b``: all pairs of different ``own`` among ``grams (id, own, grams)`` that can reach the threshold.
+    """``a, b``: all pairs of different ``own`` among ``grams (id, own, grams, parity)`` that can reach the threshold.
 
     With the shingles in one global order, rarest first, two sets of Jaccard similarity ``percent`` / 100
     share one of the first ``n - ceil(n percent / 100) + 1`` of each, and their first common one leaves
-    enough places behind it for the overlap they need.
+    enough places behind it for the overlap they need. Such sets differ in at most ``(n_a + n_b) (100 - percent)
+    / (100 + percent)`` shingles, so in no more bits of their sketches: the join itself refuses other pairs, and a
+    family of copies that are all just too far apart gives no rows.
     """
     gram = grams.select("id", "own", F.explode("grams").alias("gram"))
     rarity = gram.groupBy("gram").agg(F.count("*").alias("holders"), (F.min("own") != F.max("own")).alias("shared"))
     order = gram.join(rarity, "gram").groupBy("id", "own").agg(F.sort_array(F.collect_set(F.struct("holders", "gram", "shared"))).alias("o"))
     order = order.select("id", "own", F.size("o").alias("n"), F.slice("o", 1, F.expr(f"int(size(o) - ceil(size(o) * {percent} / 100.0) + 1)")).alias("o"))
     prefix = order.select("id", "own", "n", F.posexplode("o").alias("at", "x")).where("x.shared").select(F.col("x.gram").alias("gram"), "id", "own", "n", "at")
-    prefix = cut(prefix, "prefixes")
-    left, right = (prefix.select("gram", *(F.col(c).alias(f"{c}_{side}") for c in ("id", "own", "n", "at"))) for side in "ab")
+    prefix = cut(prefix.join(grams.select("id", "parity"), "id"), "prefixes")
+    left, right = (prefix.select("gram", *(F.col(c).alias(f"{c}_{side}") for c in ("id", "own", "n", "at", "parity"))) for side in "ab")
     room = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
     met = left.join(right, "gram").where("own_a < own_b").where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
     met = met.where((100 + percent) * room >= percent * (F.col("n_a") + F.col("n_b")))
+    apart = sum((F.bit_count(F.col("parity_a")[i].bitwiseXOR(F.col("parity_b")[i])) for i in range(SKETCH)), F.lit(0))
+    met = met.where((100 + percent) * apart <= (100 - percent) * (F.col("n_a") + F.col("n_b")))
     return met.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
 
 
@@ -200,7 +213,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     owned = member.select("bucket", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("bucket", "rep", F.coalesce("component", "rep").alias("own"))
     mixed = owned.groupBy("bucket").agg(F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo != hi").select("bucket")
     open_ = owned.join(mixed, "bucket").select(F.col("rep").alias("id"), "own").distinct()
-    pairs = cut(remaining_pairs(cut(grams.join(open_, "id").select("id", "own", "grams"), "open-sets"), percent).join(tested, ["a", "b"], "left_anti"), "remaining-pairs")
+    pairs = cut(remaining_pairs(cut(grams.join(open_, "id").select("id", "own", "grams", "parity"), "open-sets"), percent).join(tested, ["a", "b"], "left_anti"), "remaining-pairs")
     confirmed = confirm(pairs, grams, percent)
     if not confirmed.isEmpty():
         labels = connected(links.union(confirmed), "near")

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 from test_dedup import near_brute
 
 from locuslens.llm import neardup
@@ -39,3 +40,23 @@ def test_one_key_with_two_texts(make):
     rows = [(5, a), (5, b), (7, a + " end"), (9, b + " end"), (11, "alone with other words here")]
     found = {(x.doc_id, x.n_shingles, x.component_id) for x in neardup.near_duplicates(make(rows), width=3, percent=85).collect()}
     assert found == {(5, 78, 5), (7, 79, 5), (9, 79, 5), (11, 3, 11)}
+
+
+def test_parity_sketch_never_exceeds_the_difference():
+    r = random.Random(40)
+    for _ in range(300):
+        a = {r.getrandbits(64) for _ in range(r.randint(0, 900))}
+        b = {x for x in a if r.random() < 0.8} | {r.getrandbits(64) for _ in range(r.randint(0, 200))}
+        x, y = (neardup.parity_sketch(np.array(sorted(s), np.uint64)) for s in (a, b))
+        assert int(np.bitwise_count((x ^ y).view(np.uint64)).sum()) <= len(a ^ b)
+
+
+def test_last_step_refuses_distant_pairs_in_the_join(spark):
+    """Sets that share rare shingles but lie below the threshold give no candidate; those above all do."""
+    r = random.Random(41)
+    base = [r.getrandbits(62) for _ in range(100)]
+    sets = [base[n:] + [r.getrandbits(62) for _ in range(n)] for n in [3] * 40 + [20] * 60]
+    rows = [(i, i, [int(x) for x in s], [int(x) for x in neardup.parity_sketch(np.array(sorted(s), np.uint64))]) for i, s in enumerate(sets)]
+    got = {(p.a, p.b) for p in neardup.remaining_pairs(spark.createDataFrame(rows, "id long, own long, grams array<bigint>, parity array<bigint>"), 85).collect()}
+    want = {(i, j) for i in range(100) for j in range(i) if 100 * len(set(sets[i]) & set(sets[j])) >= 85 * len(set(sets[i]) | set(sets[j]))}
+    assert {(b, a) for a, b in got} >= want and len(got) <= len(want) + 40
