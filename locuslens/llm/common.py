@@ -32,16 +32,28 @@ def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 512, most_bytes
 
 
 def salted(df: DataFrame, key: str, share: int = 1000, least: int = 1000) -> DataFrame:
-    """``df`` with ``_salt``: a number of its own for each row of a key that holds more than ``least`` rows and more
-    than one in ``share`` of all, else 0. Write the result before it is used, so that retries agree.
+    """``df`` (narrow rows) with ``_copy``: null, but for the rows of a key that holds more than ``least`` rows and more
+    than one in ``share`` of all 0, 1, ... among the rows that are equal in every column.
 
-    Fewer than ``share`` keys can be so frequent, so they are broadcast, whatever the input.
+    Whole rows and their numbers tell the rows of a frequent key apart, and as equal rows are interchangeable, the
+    result is the same set of rows whatever the order and partitions of the input. Equal rows are numbered
+    inside the task that wrote them, and counts place the tasks, so no task sees all of them. Fewer than ``share`` keys
+    can be so frequent, so they are broadcast, whatever the input.
     """
-    counts = df.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_c")).where(F.col("_c") > least)
-    total = df.agg(F.count("*").alias("_total"))  # one row
-    hot = counts.join(F.broadcast(total), F.col("_c") * share > F.col("_total")).select("_key", F.lit(True).alias("_hot"))
-    own = df.withColumn("_row", F.monotonically_increasing_id()).join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_key")), "left")
-    return own.withColumn("_salt", F.when(F.col("_hot"), F.col("_row") + 1).otherwise(F.lit(0))).drop("_key", "_hot", "_row")
+    columns = df.columns
+    rows = cut(df.select("*", F.monotonically_increasing_id().alias("_at")), "salted-rows")
+    counts = rows.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_c")).where(F.col("_c") > least)
+    total = rows.agg(F.count("*").alias("_total"))  # one row
+    hot = counts.join(F.broadcast(total), F.col("_c") * share > F.col("_total")).select("_key")
+    is_hot = F.col(key).eqNullSafe(F.col("_key"))
+    own = rows.join(F.broadcast(hot), is_hot, "left_semi").withColumns({"_part": F.shiftright("_at", 33), "_same": F.sha2(F.to_json(F.struct(*columns)), 256)})
+    number = F.row_number().over(W.partitionBy("_same", "_part").orderBy("_at")) - 1
+    sizes = own.groupBy("_same", "_part").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(W.partitionBy("_same").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    numbered = own.withColumn("_in", number).join(sizes.select("_same", "_part", before.alias("_before")), ["_same", "_part"])
+    numbered = numbered.select(*columns, (F.col("_before") + F.col("_in")).cast("bigint").alias("_copy"))
+    cold = rows.join(F.broadcast(hot), is_hot, "left_anti").select(*columns, F.lit(None).cast("bigint").alias("_copy"))
+    return cold.unionByName(numbered)
 
 
 def with_fields(schema: T.StructType, ddl: str) -> T.StructType:

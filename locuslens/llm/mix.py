@@ -4,7 +4,7 @@ Targets share a total by weight under a cap per source, the excess reshared unti
 (one pass over the sources in order of cap per weight). Equal-token blocks go to sources by the highest
 quotients ``target / (2 s - 1)``: a divisor bound gives every source a number of blocks that it surely
 has, and only the few contested quotients, about two per source, are ranked. The same apportionment
-spreads a source's blocks over its shards (hashed, so that a hot source has many). Inside a shard the
+spreads a source's blocks over its shards (hashed; as many as its words or its rows ask for, so that a hot source has many). Inside a shard the
 documents lie end to end in seeded order, cut into equal blocks; a seeded affine permutation picks
 exactly the quota, and a document takes the words of its span that lie in picked blocks.
 
@@ -50,11 +50,11 @@ def apportion(votes: DataFrame, group: list[str], order: str, value: str, seats:
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, cap: float = 2.0) -> DataFrame:
-    """``source, rank, source_size, weight, target, total`` per source of ``sizes (source, size)``."""
+    """``source, rank, source_size, rows, weight, target, total`` per source of ``sizes (source, size)``."""
     every = W.partitionBy(F.lit(0))
-    own = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    own = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
     rank = F.row_number().over(every.orderBy(F.col("source").asc_nulls_last()))
-    own = own.select("source", "source_size", rank.alias("rank"))
+    own = own.select("source", "source_size", "rows", rank.alias("rank"))
     own = own.withColumn("weight", F.element_at(F.array(*(F.lit(float(w)) for w in weights)), ((F.col("rank") - 1) % len(weights) + 1).cast("int")))
     own = own.withColumn("total", F.sum("source_size").over(every) * share).withColumn("_cap", F.col("source_size") * cap)
     own = own.withColumn("_per", F.col("_cap") / F.col("weight"))
@@ -65,22 +65,23 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
     own = own.withColumn("_first", F.min(F.when(F.col("_level") <= F.col("_per"), F.col("_place"))).over(every))
     own = own.withColumn("_all", F.max(F.when(F.col("_place") == F.col("_first"), F.col("_level"))).over(every))
     target = F.coalesce(F.least("_cap", F.col("weight") * F.col("_all")), F.col("_cap"))
-    return own.select("source", "rank", "source_size", "weight", target.alias("target"), "total")
+    return own.select("source", "rank", "source_size", "rows", "weight", target.alias("target"), "total")
 
 
-def mix_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, cap: int = 2, block: int = 64, shard_words: int = 1 << 18, seed: str = "mix") -> DataFrame:
+def mix_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, cap: int = 2, block: int = 64, shard_words: int = 1 << 18, shard_rows: int = 1 << 16, seed: str = "mix") -> DataFrame:
     """``key, size, source, source_size, target, taken, shard`` per row of ``docs``; ``taken`` <= ``cap`` * ``size``."""
     words = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD_PATTERN)).cast("bigint")
-    # rows of a key that very many share are told apart, so that they spread over shards
+    # rows of a key that very many share are told apart by what they hold, so that they spread over shards
     own = salted(docs.select(F.col(key).alias("id"), F.col(source).alias("source"), words.alias("size")), "id")
-    name = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit("")), F.when(F.col("_salt") > 0, F.concat(F.lit(":"), F.col("_salt").cast("string"))).otherwise(F.lit("")))
+    told = F.concat_ws(":", F.lit(""), F.coalesce("source", F.lit("")), F.col("size").cast("string"), F.col("_copy").cast("string"))
+    name = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit("")), F.when(F.col("_copy").isNotNull(), told).otherwise(F.lit("")))
     sizes = cut(own.select("id", "source", "size", F.md5(name).alias("mark")), "sizes")
     every = W.partitionBy(F.lit(0))
     targets = source_targets(sizes, weights, share, float(cap))
     tokens = F.greatest(F.lit(1), F.least(F.lit(block), F.floor(F.col("total") / (1000 * F.count("*").over(every))))).cast("bigint")
     targets = targets.withColumn("tokens", tokens).withColumn("blocks", F.floor(F.col("total") / F.col("tokens") + 0.5).cast("bigint"))
     quotas = apportion(targets, [], "rank", "target", "blocks", "quota")
-    quotas = cut(quotas.withColumn("shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("bigint")), "source-quotas")
+    quotas = cut(quotas.withColumn("shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words), F.ceil(F.col("rows") / shard_rows)).cast("bigint")), "source-quotas")
 
     # the quota table has one row per source; Spark broadcasts it only if it is small
     cell = (F.conv(F.substring("mark", 1, 8), 16, 10).cast("bigint") % F.col("shards")).alias("shard")

@@ -123,18 +123,22 @@ def apportion_sql(source: str, group: str, order: str, value: str, seats: str) -
 
 
 MIX_SQL = rf"""
-WITH d AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS mark FROM documents
-), s0 AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY 1),
+WITH d0 AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents
+), d1 AS (
+  SELECT *, count(*) OVER (PARTITION BY doc_id) > greatest(1000, count(*) OVER () / 1000) AS frequent, row_number() OVER (PARTITION BY doc_id, source, size) - 1 AS copy FROM d0
+), d AS (
+  SELECT doc_id, source, size, md5('mix:' || coalesce(doc_id::VARCHAR, '') || CASE WHEN frequent THEN ':' || coalesce(source, '') || ':' || size || ':' || copy ELSE '' END) AS mark FROM d1
+), s0 AS (SELECT source, sum(size)::BIGINT AS source_size, count(*) AS n_rows FROM d GROUP BY 1),
 s1 AS (SELECT *, row_number() OVER (ORDER BY source ASC NULLS LAST) AS rank, sum(source_size) OVER () * 1.5::DOUBLE AS total FROM s0),
 s2 AS (SELECT *, [3.0::DOUBLE, 1.0, 2.0][(rank - 1) % 3 + 1]::DOUBLE AS weight, source_size * 2.0::DOUBLE AS cap FROM s1),
 s3 AS (SELECT *, cap / weight AS per FROM s2),
 s4 AS (SELECT *, (total - coalesce(sum(cap) OVER (ORDER BY per, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(weight) OVER (ORDER BY per, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level, row_number() OVER (ORDER BY per, rank) AS place FROM s3),
 s5 AS (SELECT *, min(CASE WHEN level <= per THEN place END) OVER () AS first FROM s4),
 s6 AS (SELECT *, max(CASE WHEN place = first THEN level END) OVER () AS lam FROM s5),
-s7 AS (SELECT source, rank, source_size, total, coalesce(least(cap, weight * lam), cap) AS target, greatest(1, least(64, floor(total / (1000 * count(*) OVER ()))))::BIGINT AS tokens FROM s6),
+s7 AS (SELECT source, rank, source_size, n_rows, total, coalesce(least(cap, weight * lam), cap) AS target, greatest(1, least(64, floor(total / (1000 * count(*) OVER ()))))::BIGINT AS tokens FROM s6),
 s8 AS (SELECT *, floor(total / tokens + 0.5)::BIGINT AS blocks FROM s7),
-s9 AS (SELECT * EXCLUDE (given), given AS quota, greatest(1, ceil(source_size / 262144.0::DOUBLE))::BIGINT AS shards FROM {apportion_sql("s8", "", "rank", "target", "blocks")}),
+s9 AS (SELECT * EXCLUDE (given), given AS quota, greatest(1, ceil(source_size / 262144.0::DOUBLE), ceil(n_rows / 65536.0::DOUBLE))::BIGINT AS shards FROM {apportion_sql("s8", "", "rank", "target", "blocks")}),
 p AS (SELECT doc_id, d.source, size, mark, rank, source_size, target, quota, tokens, ('0x' || substr(mark, 1, 8))::BIGINT % shards AS shard FROM d JOIN s9 ON d.source IS NOT DISTINCT FROM s9.source),
 c0 AS (SELECT rank, shard, sum(size)::BIGINT AS length, sum(size)::DOUBLE AS votes, any_value(quota) AS quota, any_value(tokens) AS tokens FROM p GROUP BY 1, 2),
 c1 AS (SELECT *, greatest(1, floor(length / tokens::DOUBLE + 0.5))::BIGINT AS m FROM {apportion_sql("c0", "rank", "shard", "votes", "quota")}),

@@ -81,9 +81,10 @@ def shuffle_into_shards(docs: DataFrame, key: str = "doc_id", text: str = "text"
     spark = docs.sparkSession
     data = F.coalesce(F.col(text), F.lit("")).cast("binary")
     narrow = docs.select(F.col(key), (F.octet_length(data) + overhead).cast("bigint").alias("size"), F.crc32(data).alias("text_crc32"))
-    # rows of a key that very many share are told apart, so that no partition or range holds them all
+    # rows of a key that very many share are told apart by what they hold, so that no partition or range holds them all
+    salt = F.when(F.col("_copy").isNull(), F.lit(0).cast("bigint")).otherwise(F.xxhash64("size", "text_crc32", "_copy"))
     part = F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("")), F.col("_salt"), F.lit(seed)), F.lit(partitions)).cast("int")
-    rows = cut(salted(narrow, key).withColumn("part", part), "shard-rows")
+    rows = cut(salted(narrow, key).withColumn("_salt", salt).withColumn("part", part), "shard-rows")
     sizes = {r["part"]: r["count"] for r in rows.groupBy("part").count().collect()}  # at most ``partitions`` rows
     counts = [sizes.get(i, 0) for i in range(partitions)]
     ends = communication_matrix(counts, shards, seed).cumsum(1)

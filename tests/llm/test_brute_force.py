@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from locuslens.llm import common, langid, licenses, media, shard, tokencount
+from locuslens.llm import common, langid, licenses, media, mix, shard, tokencount
 
 
 def test_slots_by_plain_placement(make):
@@ -36,12 +36,30 @@ def test_slots_by_plain_placement(make):
     assert got == want
 
 
-def test_frequent_keys_get_salts(make):
-    docs = make([(i if i % 3 else None, "x") for i in range(4000)])
-    salts = [(r.doc_id, r["_salt"]) for r in common.salted(docs, "doc_id").collect()]
-    assert len(salts) == 4000 and all(s == 0 for k, s in salts if k is not None)
-    own = [s for k, s in salts if k is None]
-    assert len(set(own)) == len(own) == 1334 and min(own) > 0
+def test_frequent_keys_are_told_apart_by_content(make):
+    """Rows of a frequent key are numbered among equal rows, the same way in every layout."""
+    docs = make([(i if i % 3 else None, f"x {i % 2}") for i in range(4000)]).select("doc_id", "text")
+    found = [[tuple(r) for r in common.salted(layout, "doc_id").collect()] for layout in (docs.coalesce(1), docs.repartition(13, "text"), docs.orderBy(F.desc("text")).repartition(5))]
+    assert len(found[0]) == 4000 and all(sorted(x, key=str) == sorted(found[0], key=str) for x in found)
+    assert all(copy is None for k, _, copy in found[0] if k is not None)
+    for text in ("x 0", "x 1"):
+        own = sorted(copy for k, t, copy in found[0] if k is None and t == text)
+        assert own == list(range(667))
+
+
+def test_reruns_agree_in_every_layout(make):
+    """Mix and shards of rows of which more than half share a key, and some are repeated whole, in two layouts."""
+    docs = make([(i if i % 8 < 3 else 7, " ".join(["w"] * (i % 40 if i % 5 else 11)), "en", f"s{i % 3}") for i in range(4000)])
+    again = docs.orderBy(F.desc("text"), "source").repartition(11)
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert rows(mix.mix_documents(docs, shard_words=4000)) == rows(mix.mix_documents(again, shard_words=4000))
+    assert rows(shard.shuffle_into_shards(docs, shards=5, partitions=16)) == rows(shard.shuffle_into_shards(again, shards=5, partitions=16))
+
+
+def test_sources_without_words_have_many_shards(make):
+    docs = make([(i, "  " if i % 2 else "one two", "en", "blank" if i % 2 else "words") for i in range(2000)])
+    rows = mix.mix_documents(docs, shard_rows=100).collect()
+    assert len({r.shard for r in rows if r.source == "blank"}) == 10 and all(r.taken == 0 for r in rows if r.source == "blank")
 
 
 def naive_features(text):
