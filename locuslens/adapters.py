@@ -87,10 +87,10 @@ VERSIONS = """select r_name || ':' || n_name || ':' || 'STEP' || cast(n_nationke
 VIEWS = {"sites": (SITES, ["part"]), "reads": (READS, ["lineitem"]), "vaf": (VAF, ["lineitem"]), "coverage": (COVERAGE, ["orders"]), "manifest": (MANIFEST, ["customer"]), "fastq": (FASTQ, ["documents"]), "genes": (GENES, ["supplier"]), "versions": (VERSIONS, ["nation", "region"])}
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A domain view over the tables of ``sf_dir``."""
+def view(spark: SparkSession, sf_dir: str, name: str, deal: bool = False) -> DataFrame:
+    """A domain view over the tables of ``sf_dir``; ``deal`` where each row costs much."""
     text, tables = VIEWS[name]
-    return spark.sql(text.replace('"end"', "`end`"), **{t: table(spark, sf_dir, t) for t in tables})
+    return spark.sql(text.replace('"end"', "`end`"), **{t: table(spark, sf_dir, t, deal) for t in tables})
 
 
 def duck(name: str) -> str:

@@ -22,8 +22,8 @@ KEY = ["sample", "qname", "ordinal", "locus"]
 
 def reads_in_loci(reads: DataFrame, loci: DataFrame, window: int = 100) -> DataFrame:
     """Pairs of reads and loci ``(locus, locus_chrom, locus_start, locus_end)`` within ``window`` bases."""
-    wide = loci.withColumn("_from", F.col("locus_start") - window).withColumn("_to", F.col("locus_end") + window)
-    return intervals.overlap_join(reads, wide, ("chrom", "pos", "end"), ("locus_chrom", "_from", "_to")).drop("_from", "_to")
+    wide = loci.select("locus", "locus_chrom", "locus_start", "locus_end", (F.col("locus_start") - window).alias("_from"), (F.col("locus_end") + window).alias("_to"))
+    return intervals.indexed_join(reads, wide, ("chrom", "pos", "end"), ("locus_chrom", "_from", "_to")).drop("_from", "_to")
 
 
 def reanchor_clips(pairs: DataFrame, reference: DataFrame, window: int = 100, least: int = 5, asks: Column | None = None) -> DataFrame:

@@ -2,7 +2,8 @@
 
 An overlap join is an equi join on (chromosome, bin): both sides list the bins they touch, and a pair is
 kept in the first bin that both touch, so it comes out once. Hot bins are ordinary skewed join keys,
-which adaptive execution splits. Clustering finds islands inside coarse bins first and stitches the
+which adaptive execution splits. A list of intervals that is measured to be small becomes an index that every
+executor holds, and the other side, the reads, does not move (``indexed_join``). Clustering finds islands inside coarse bins first and stitches the
 islands, so the per-chromosome window sees islands rather than rows.
 """
 
@@ -12,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from locuslens.session import cut, in_memory_bytes
+
 
 def _bins(start: Column, end: Column, width: int) -> Column:
     return F.sequence(F.floor(start / width), F.greatest(F.floor(start / width), F.floor((end - 1) / width)))
@@ -22,9 +25,31 @@ def overlap_join(left: DataFrame, right: DataFrame, left_on: tuple[str, str, str
     (lc, ls, le), (rc, rs, re_) = left_on, right_on
     a = left.select("*", F.explode(_bins(F.col(ls), F.col(le), width)).alias("_bin"))
     b = right.select("*", F.explode(_bins(F.col(rs), F.col(re_), width)).alias("_bin2"))
+    return a.join(b, _meets(left_on, right_on, width)).drop("_bin", "_bin2")
+
+
+#: Memory that an index of intervals may take on every executor.
+INDEX_BYTES = 32 << 20
+
+
+def indexed_join(rows: DataFrame, intervals: DataFrame, rows_on: tuple[str, str, str], intervals_on: tuple[str, str, str], width: int = 4096, most_bytes: int = INDEX_BYTES) -> DataFrame:
+    """``overlap_join`` of many ``rows`` with a list of ``intervals`` that may be small.
+
+    The list is written with its bins, every interval once per bin it touches, and measured as it would lie in
+    memory: up to ``most_bytes`` it is sent to all executors and looked up by (chromosome, bin), so that rows are joined where
+    they are; a longer one is joined by a shuffle of both sides. The pairs are the same.
+    """
+    (lc, ls, le), (rc, rs, re_) = rows_on, intervals_on
+    index = cut(intervals.select("*", F.explode(_bins(F.col(rs), F.col(re_), width)).alias("_bin2")), "interval-index")
+    small = in_memory_bytes(index) <= most_bytes
+    a = rows.select("*", F.explode(_bins(F.col(ls), F.col(le), width)).alias("_bin"))
+    return a.join(F.broadcast(index) if small else index.hint("merge"), _meets(rows_on, intervals_on, width)).drop("_bin", "_bin2")
+
+
+def _meets(left_on: tuple[str, str, str], right_on: tuple[str, str, str], width: int) -> Column:
+    (lc, ls, le), (rc, rs, re_) = left_on, right_on
     first = F.greatest(F.floor(F.col(ls) / width), F.floor(F.col(rs) / width))
-    hit = (F.col(lc) == F.col(rc)) & (F.col("_bin") == F.col("_bin2")) & (F.col(ls) < F.col(re_)) & (F.col(rs) < F.col(le)) & (F.col("_bin") == first)
-    return a.join(b, hit).drop("_bin", "_bin2")
+    return (F.col(lc) == F.col(rc)) & (F.col("_bin") == F.col("_bin2")) & (F.col(ls) < F.col(re_)) & (F.col(rs) < F.col(le)) & (F.col("_bin") == first)
 
 
 def cluster(df: DataFrame, chrom: str = "chrom", start: str = "start", end: str = "end", slack: int = 0, out: str = "cluster", width: int = 1 << 20) -> DataFrame:

@@ -49,8 +49,8 @@ def drop_ambiguous(alleles: DataFrame) -> DataFrame:
 
 def control_depth(reads: DataFrame, loci: DataFrame, window: int = 100) -> DataFrame:
     """Distinct fragments of the control per locus, over ``[start - window, end)``; 0 for loci without any."""
-    wide = loci.withColumn("_from", F.col("locus_start") - window)
-    met = intervals.overlap_join(alignments.primary_reads(reads), wide, ("chrom", "pos", "end"), ("locus_chrom", "_from", "locus_end"))
+    wide = loci.select("locus", "locus_chrom", (F.col("locus_start") - window).alias("_from"), "locus_end")
+    met = intervals.indexed_join(alignments.primary_reads(reads).select("qname", "chrom", "pos", "end"), wide, ("chrom", "pos", "end"), ("locus_chrom", "_from", "locus_end"))
     counts = met.groupBy("locus").agg(F.countDistinct("qname").alias("control_reads"))
     return loci.select("locus").join(counts, "locus", "left").select("locus", F.coalesce("control_reads", F.lit(0)).alias("control_reads"))
 

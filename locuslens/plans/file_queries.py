@@ -24,7 +24,7 @@ def again(df: DataFrame, path: str, sep: str = "\t") -> DataFrame:
 # ---- alignments and reference ---------------------------------------------------------------------------
 @query(f"with {duck('reads')} select {ALIGNED} from reads_v")
 def sam_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reads, path = view(spark, sf_dir, "reads"), scratch_dir(spark, "sam")
+    reads, path = view(spark, sf_dir, "reads", True), scratch_dir(spark, "sam")
     found = None
     for sample in ("edited", "control"):
         text_formats.write_sam(reads.where(F.col("sample") == sample), f"{path}/{sample}")
@@ -72,7 +72,7 @@ def report_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"select * from ({ORACLE_SQL['junctions_discordant']}) union all select * from ({ORACLE_SQL['junctions_split']})")
 def junction_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All junctions, sorted by place, as text, read back."""
-    found, path = junctions.junctions(view(spark, sf_dir, "reads")), scratch_dir(spark, "junctions")
+    found, path = junctions.junctions(view(spark, sf_dir, "reads", True)), scratch_dir(spark, "junctions")
     text_formats.write_tsv(found, path, ["Chromosome", "Start"])
     return again(found, path)
 

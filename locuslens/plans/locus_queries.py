@@ -87,13 +87,13 @@ def locus_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loci.locus_members(site_rows(spark, sf_dir), WINDOW)
 
 
-def paired(spark: SparkSession, sf_dir: str, sites: DataFrame | None = None) -> DataFrame:
-    return classify.reads_in_loci(view(spark, sf_dir, "reads"), locus_rows(spark, sf_dir) if sites is None else sites, WINDOW)
+def paired(spark: SparkSession, sf_dir: str, sites: DataFrame | None = None, deal: bool = False) -> DataFrame:
+    return classify.reads_in_loci(view(spark, sf_dir, "reads", deal), locus_rows(spark, sf_dir) if sites is None else sites, WINDOW)
 
 
 def class_rows(spark: SparkSession, sf_dir: str, sites: DataFrame | None = None, realigns: bool = False) -> DataFrame:
     sites = cut(locus_rows(spark, sf_dir), "loci") if sites is None else sites
-    return classify.classify(paired(spark, sf_dir, sites), adapters.reference(spark, sf_dir), WINDOW, DISTANCE, realigns=realigns)
+    return classify.classify(paired(spark, sf_dir, sites, True), adapters.reference(spark, sf_dir), WINDOW, DISTANCE, realigns=realigns)
 
 
 def allele_rows(spark: SparkSession, sf_dir: str, sites: DataFrame | None = None, realigns: bool = False) -> DataFrame:
@@ -117,8 +117,8 @@ def filtered_rows(spark: SparkSession, sf_dir: str, sites: DataFrame, least_read
     return loci.candidate_filter(scored, least_reads, distance=DISTANCE)
 
 
-def control_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return view(spark, sf_dir, "reads").where("sample = 'control'")
+def control_reads(spark: SparkSession, sf_dir: str, deal: bool = True) -> DataFrame:
+    return view(spark, sf_dir, "reads", deal).where("sample = 'control'")
 
 
 # ---- sites -------------------------------------------------------------------------------------------
@@ -224,7 +224,7 @@ def exclude_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"with {duck('reads')} select qname, ordinal, cigar, {n_ops('cigar')} as n_ops, " + ", ".join(f"{op_sum('cigar', o)} as n_{o.lower()}" for o in "MIDNS") + f", {op_sum('cigar', 'MDN')} as ref_span, {op_sum('cigar', 'MIS')} as query_span, {first_n('cigar', '^([0-9]+)S')} as left_clip, {first_n('cigar', '([0-9]+)S$')} as right_clip from reads_v")
 def cigar_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alignments.cigar_profile(view(spark, sf_dir, "reads"))
+    return alignments.cigar_profile(view(spark, sf_dir, "reads", True))
 
 
 EXPLODED = f"{duck('reads')}, ex as (select *, unnest({SA}) as s, unnest(range(0, len({SA}))) as n from reads_v)"
@@ -232,7 +232,7 @@ EXPLODED = f"{duck('reads')}, ex as (select *, unnest({SA}) as s, unnest(range(0
 
 @query(f"with {EXPLODED} select qname, ordinal, n, s[1] as chrom, s[2]::BIGINT as pos, s[3] as strand, s[4] as cigar, s[5]::BIGINT as mq, s[6]::BIGINT as nm from ex")
 def sa_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alignments.explode_supplementary(view(spark, sf_dir, "reads"))
+    return alignments.explode_supplementary(view(spark, sf_dir, "reads", True))
 
 
 def positions_sql(c: str) -> str:
@@ -246,7 +246,7 @@ SPLIT_AT = f"sp as (select *, {positions_sql('cigar')} as x, {positions_sql('s[4
 
 @query(f"with {EXPLODED}, {SPLIT_AT} select qname, ordinal, n, len(x)::BIGINT as aligned, len(y)::BIGINT as sa_aligned, len(list_intersect(x, y))::BIGINT as \"both\" from sp")
 def aligned_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alignments.aligned_overlap(view(spark, sf_dir, "reads"))
+    return alignments.aligned_overlap(view(spark, sf_dir, "reads", True))
 
 
 MATES = f"""{duck("reads")}, own as (select *, flag & 64 <> 0 as f from reads_v where (flag & 2304) = 0), mate as (select sample, qname, f, arg_min(seq, (ordinal, seq)) as mate_seq from own group by all),
@@ -255,19 +255,19 @@ mated as (select o.*, coalesce(m.mate_seq, '.') as mate_seq from own o left join
 
 @query(f"with {MATES} select qname, ordinal, mate_seq from mated")
 def mate_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alignments.join_mates(view(spark, sf_dir, "reads")).select("qname", "ordinal", "mate_seq")
+    return alignments.join_mates(view(spark, sf_dir, "reads", True)).select("qname", "ordinal", "mate_seq")
 
 
 @query(f"with {CLASSES} select ordinal, locus, hit from c5 where hit is not null")
 def clip_reanchor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = classify.parsed(paired(spark, sf_dir)).withColumns(classify.near_supplementary()).where(classify.ASKS)
+    own = classify.parsed(paired(spark, sf_dir, None, True)).withColumns(classify.near_supplementary()).where(classify.ASKS)
     return classify.reanchor_clips(own, adapters.reference(spark, sf_dir), WINDOW).where("hit is not null").select("ordinal", "locus", "hit")
 
 
 @query()
 def realigned_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reads whose near parts cannot be spliced, with their CIGAR between both parts, which SQL cannot compute."""
-    own = classify.with_parts(classify.parsed(paired(spark, sf_dir)))
+    own = classify.with_parts(classify.parsed(paired(spark, sf_dir, None, True)))
     return classify.realign_parts(own, adapters.reference(spark, sf_dir)).select("sample", "qname", "ordinal", "locus", "near_left", "cigar", F.col("s")["cigar"].alias("sa_cigar"), "realigned")
 
 
@@ -335,7 +335,7 @@ def control_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"with {LOCI}, {duck('reads')}, {DEPTH} select locus, control_reads from depth")
 def control_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return loci.control_depth(control_reads(spark, sf_dir), locus_rows(spark, sf_dir), WINDOW)
+    return loci.control_depth(control_reads(spark, sf_dir, False), locus_rows(spark, sf_dir), WINDOW)
 
 
 @query()
@@ -357,14 +357,14 @@ def locus_report_unscored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report before alleles are scored in the control, which SQL cannot do: all of them count."""
     sites = cut(locus_rows(spark, sf_dir), "loci")
     alleles = loci.drop_ambiguous(unscored_rows(spark, sf_dir, sites))
-    return loci.locus_report(alleles, sites, loci.control_depth(control_reads(spark, sf_dir), sites, WINDOW))
+    return loci.locus_report(alleles, sites, loci.control_depth(control_reads(spark, sf_dir, False), sites, WINDOW))
 
 
 @query()
 def locus_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     sites = cut(locus_rows(spark, sf_dir), "loci")
     alleles = loci.drop_ambiguous(filtered_rows(spark, sf_dir, sites))
-    return loci.locus_report(alleles, sites, loci.control_depth(control_reads(spark, sf_dir), sites, WINDOW))
+    return loci.locus_report(alleles, sites, loci.control_depth(control_reads(spark, sf_dir, False), sites, WINDOW))
 
 
 # ---- junctions ---------------------------------------------------------------------------------------
@@ -374,7 +374,7 @@ USABLE = "(flag & 3328) = 0 and mapq > 0 and not (pos between 3130 and 5930)"
 @query(f"""with {MATES}, j as (select *, mate_pos + case when flag & 32 = 0 then 151 else 0 end as jpos from mated where {USABLE} and flag & 2 = 0 and flag & 8 = 0 and chrom <> mate_chrom)
   select qname, ordinal, mate_chrom as "Chromosome", jpos - 1 as "Start", jpos as "End", 'INS' as "Var", case when flag & 32 = 0 then '+' else '-' end as "Strand", 'ID=' || qname || ';Type=PR;Read1Seq=' || seq || ';Read2Seq=' || mate_seq as "Info", 'PR' as evidence from j""")
 def junctions_discordant(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reads = view(spark, sf_dir, "reads")
+    reads = view(spark, sf_dir, "reads", True)
     return junctions.discordant(alignments.join_mates(junctions.apart(junctions.usable(reads)), reads))
 
 
@@ -382,5 +382,5 @@ def junctions_discordant(spark: SparkSession, sf_dir: str) -> DataFrame:
   j as (select *, s[2]::BIGINT + case when s[3] = '+' then len(y) else 0 end as jpos from sp where s[1] <> chrom and s[5]::BIGINT >= 1 and s[6]::BIGINT <= 1 and len(list_intersect(x, y)) < 0.2::DOUBLE * len(x))
   select qname, ordinal, s[1] as "Chromosome", jpos - 1 as "Start", jpos as "End", 'INS' as "Var", s[3] as "Strand", 'ID=' || qname || ';Type=PR;Read1Seq=' || seq || ';Read2Seq=' || case when chrom = mate_chrom then '.' else mate_seq end as "Info", 'SR' as evidence from j""")
 def junctions_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reads = view(spark, sf_dir, "reads")
+    reads = view(spark, sf_dir, "reads", True)
     return junctions.split(alignments.join_mates(junctions.clipped(junctions.usable(reads)), reads))

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(master: str = "local[8]", app: str = "locuslens", **conf: str) -> SparkSession:
@@ -23,11 +24,25 @@ def build_session(master: str = "local[8]", app: str = "locuslens", **conf: str)
     return builder.getOrCreate()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given Parquet tables (a file or a folder of part files); a small one in few splits is dealt over all cores."""
+def table(spark: SparkSession, sf_dir: str, name: str, deal: bool = True) -> DataFrame:
+    """One of the given Parquet tables (a file or a folder of part files).
+
+    With ``deal``, for plans with expensive rows, a table in fewer splits than cores is dealt over all cores; cheap
+    ones read it as it is, without an exchange.
+    """
     rows, cores = spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    return rows.repartition(cores) if deal and rows.rdd.getNumPartitions() < cores else rows
+
+
+def in_memory_bytes(rows: DataFrame) -> int:
+    """An upper estimate of the memory that ``rows`` take in a hash table, from a pass over them: fixed costs and text lengths."""
+    texts = [F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0)) for f in rows.schema.fields if f.dataType.simpleString() not in FIXED]
+    width = 64 + 16 * len(rows.columns)
+    return rows.agg(F.sum(sum(texts, F.lit(width).cast("bigint"))).alias("n")).head().n or 0
+
 
+#: Types whose values have one size.
+FIXED = ("tinyint", "smallint", "int", "bigint", "float", "double", "boolean", "date", "timestamp")
 
 #: Folders written by ``cut`` and ``scratch_dir`` in this process, until ``remove_written``.
 WRITTEN: list[str] = []
