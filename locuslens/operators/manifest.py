@@ -5,8 +5,14 @@ Rows carry ``ordinal`` (their place in the sheet), ``id``, ``uid``, ``sample_typ
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from locuslens.functions import dna
+from locuslens.session import cut, scratch_dir
 
 #: Columns of a normalised manifest row, in order (fixed format).
 COLUMNS = ["id", "uid", "sample_type", "sample_id", "assay", "i7index", "i5index", "flowcell", "lane", "dragen_path", "read1", "read2", "cram", "bam", "hotspot_file"]
@@ -37,8 +43,8 @@ def routes(rows: DataFrame) -> DataFrame:
     return rows.select("ordinal", "id", F.explode(present).alias("r")).select("ordinal", "id", F.col("r")["kind"].alias("kind"), F.col("r")["path"].alias("path"))
 
 
-def row_errors(rows: DataFrame) -> DataFrame:
-    """Broken rules per row as sorted text; rows without any are left out."""
+def broken_rules() -> Column:
+    """Broken rules of a row as a sorted list of text."""
     bad = lambda cond, text: F.when(F.coalesce(cond, F.lit(False)), F.lit(text))
     ending = lambda c: F.regexp_extract(c, r"\.(f(?:ast)?q\.gz)$", 1)
     rules = [
@@ -49,7 +55,12 @@ def row_errors(rows: DataFrame) -> DataFrame:
         bad(ending(F.col("read1")) != ending(F.col("read2")), "pair suffix"),
         bad(F.col("read1").isNull() & F.col("read2").isNotNull(), "read1 missing"),
     ]
-    found = rows.select("ordinal", "id", F.array_join(F.array_sort(F.array_compact(F.array(*rules))), ",").alias("errors"), (F.col("read1").isNotNull() & F.col("read2").isNull()).alias("single_end"))
+    return F.array_sort(F.array_compact(F.array(*rules)))
+
+
+def row_errors(rows: DataFrame) -> DataFrame:
+    """Broken rules per row as sorted text; rows without any are left out."""
+    found = rows.select("ordinal", "id", F.array_join(broken_rules(), ",").alias("errors"), (F.col("read1").isNotNull() & F.col("read2").isNull()).alias("single_end"))
     return found.where("errors != ''")
 
 
@@ -75,6 +86,78 @@ def require_valid(rows: DataFrame, listing: DataFrame) -> DataFrame:
     return rows
 
 
+#: Columns of a manifest that name files.
+PATHS = ("read1", "read2", "cram", "bam", "dragen_path")
+
+
+def with_listed_reads(rows: DataFrame, lists: DataFrame) -> DataFrame:
+    """Rows that name a list in ``fastq_list`` once per read pair that it holds for their id, without alignments; other rows as they are.
+
+    A row whose list has nothing for it stays without reads."""
+    named = rows.where("fastq_list is not null").drop("read1", "read2", "cram", "bam")
+    held = lists.select(F.col("list").alias("_list"), F.col("RGSM").alias("_id"), F.col("Read1File").alias("read1"), F.col("Read2File").alias("read2"))
+    found = named.join(held, (F.col("fastq_list") == F.col("_list")) & (F.col("id") == F.col("_id")), "left").drop("_list", "_id")
+    return rows.where("fastq_list is null").unionByName(found, allowMissingColumns=True)
+
+
+def with_names(rows: DataFrame, votes: DataFrame, path: str = "read1") -> DataFrame:
+    """Rows with reads take index, flowcell and lane from the vote of their first file's read names where the sheet lacks them.
+
+    The second index is read from the other strand. Unknown indexes stay null."""
+    given = votes.select(F.col("file").alias("_file"), F.nullif("i7index", F.lit("UNKNOWN")).alias("_i7index"), dna.reverse_complement(F.col("i5index")).alias("_i5index"), F.col("flowcell").alias("_flowcell"), F.col("lane").alias("_lane"))
+    met = rows.where(F.col(path).isNotNull()).join(given, F.col(path) == F.col("_file"), "left")
+    filled = met.withColumns({c: F.coalesce(F.col(c), F.col(f"_{c}")) for c in ("i7index", "i5index", "flowcell", "lane")}).select(*rows.columns)
+    return rows.where(F.col(path).isNull()).unionByName(filled)
+
+
+def by_input(rows: DataFrame) -> DataFrame:
+    """One row per kind of input that a row brings, with the paths of that kind (results stay beside reads and alignments); rows without any have kind ``none``."""
+    own = {"reads": ("read1", "read2", "dragen_path"), "cram": ("cram", "dragen_path"), "bam": ("bam", "dragen_path"), "results": ("dragen_path",)}
+    present = F.array_compact(F.array(*(F.when(F.col(paths[0]).isNotNull(), F.lit(kind)) for kind, paths in own.items())))
+    kinds = rows.select("*", F.explode(F.when(F.size(present) > 0, present).otherwise(F.array(F.lit("none")))).alias("kind"))
+    keep = lambda c: F.when(F.col("kind").isin([kind for kind, paths in own.items() if c in paths]), F.col(c)).alias(c)
+    return kinds.select(*(keep(c) if c in PATHS else F.col(c) for c in kinds.columns))
+
+
+def enrich(rows: DataFrame, lists: DataFrame, votes: DataFrame, path: str = "read1") -> DataFrame:
+    """A sheet as the steps after it need it: reads of fastq lists, index, flowcell and lane from read names, one row per kind of input."""
+    return by_input(with_names(with_listed_reads(rows, lists), votes, path))
+
+
+def checked(rows: DataFrame, listing: DataFrame) -> DataFrame:
+    """``rows`` with ``errors``: broken rules, ``no input`` and ``missing file`` for paths that ``listing (path)`` lacks; null if none."""
+    once = cut(rows.withColumn("_row", F.monotonically_increasing_id()), "sheet")
+    named = once.select("_row", F.explode(F.array_compact(F.array(*PATHS))).alias("path"))
+    lost = named.join(listing.select("path"), "path", "left_anti").select("_row").distinct().withColumn("_lost", F.lit("missing file"))
+    nothing = F.when(F.col("kind") == "none", F.lit("no input")) if "kind" in rows.columns else F.lit(None)
+    errors = F.nullif(F.concat_ws(",", F.array_join(broken_rules(), ","), nothing, "_lost"), F.lit(""))
+    told = once.join(lost, "_row", "left").withColumn("errors", F.nullif(F.ltrim(errors, F.lit(",")), F.lit("")))
+    return told.select(*rows.columns, "errors")
+
+
+class Validated(NamedTuple):
+    """Both parts of a checked sheet, and how many rows they have."""
+
+    valid: DataFrame
+    rejected: DataFrame
+    rows: int
+    bad: int
+
+
+def validate(rows: DataFrame, listing: DataFrame, strict: bool = False) -> Validated:
+    """Check a sheet and write it once, valid rows and, with their ``errors``, rejected ones in quarantine.
+
+    The counts are observed while it is written. With ``strict`` any rejected row fails the job; what it wrote stays."""
+    spark, seen = rows.sparkSession, Observation("sheet")
+    told, path = checked(rows, listing), scratch_dir(rows.sparkSession, "validated")
+    told.withColumn("valid", F.col("errors").isNull()).observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("errors").isNotNull()).alias("bad")).write.partitionBy("valid").parquet(path)
+    written = spark.read.schema(T.StructType([*told.schema.fields, T.StructField("valid", T.BooleanType())])).parquet(path)
+    counts = seen.get
+    if strict and counts["bad"]:
+        raise ValueError(f"{counts['bad']} of {counts['rows']} manifest rows are not valid; see {path}/valid=false")
+    return Validated(written.where("valid").drop("valid", "errors"), written.where("not valid").drop("valid"), counts["rows"], counts["bad"])
+
+
 def expand_folders(folders: DataFrame, files: DataFrame) -> DataFrame:
     """Result folders ``(id, folder)`` with each file of a listing ``(folder, path)`` below them."""
     return folders.join(files, "folder").select("id", "path")

@@ -10,8 +10,9 @@ from locuslens.adapters import dna, duck, view
 from locuslens.operators import hotspots, junctions, manifest
 from locuslens.plans import locus_queries, manifest_queries, signal_queries
 from locuslens.registry import ORACLE_SQL, query
-from locuslens.session import scratch_dir
-from locuslens.sources import text_formats
+from locuslens.session import cut, scratch_dir
+from locuslens.sources import published, text_formats
+from locuslens.sources.listing import list_files
 
 ALIGNED = 'sample, qname, flag, chrom, pos, "end", mapq, cigar, mate_chrom, mate_pos, seq, nm, sa'
 
@@ -92,19 +93,71 @@ def hotspot_vcf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(path)
 
 
-@query(f"with {duck('genes')}, m as (select gene_chrom as chrom, gene_start as a, least(gene_start + 50, gene_end) as b from genes_v), e as (select distinct chrom, unnest(range(a, b + 1)) as pos from m) select chrom, pos from e")
+@query(f"with {duck('genes')}, m as (select gene_chrom as chrom, gene_start as a, gene_end as b from genes_v), e as (select distinct chrom, unnest(range(a, b + 1)) as pos from m) select chrom, pos from e")
 def hotspot_bed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positions of intervals that come as a BED file."""
     path = scratch_dir(spark, "bed")
-    view(spark, sf_dir, "genes").select(F.concat_ws("\t", "gene_chrom", "gene_start", F.least(F.col("gene_start") + 50, F.col("gene_end"))).alias("value")).write.text(path)
+    view(spark, sf_dir, "genes").select(F.concat_ws("\t", "gene_chrom", "gene_start", "gene_end").alias("value")).write.text(path)
     return hotspots.positions(text_formats.read_bed(spark, path), adapters.reference(spark, sf_dir)).select("chrom", "pos")
 
 
-@query(f"{ORACLE_SQL['blank_to_null']}")
+# ---- the manifest as one job ----------------------------------------------------------------------------
+#: Sheet rows that lack indexes or places, or name a fastq list instead of reads, as they come in.
+GIVEN = {"i7index": "case when ordinal % 3 = 0 then null else i7index end", "i5index": "case when ordinal % 3 = 0 then null else i5index end", "flowcell": "case when ordinal % 4 = 0 then null else flowcell end", "lane": "case when ordinal % 4 = 0 then null else lane end"}
+LIST_OF = "case when read1 is null and ordinal % 3 <> 1 then flowcell end"
+PAIR_OF = ("'/data/' || id || '_L' || n || '_R1_001.fastq.gz'", "'/data/' || id || '_L' || n || '_R2_001.fastq.gz'")
+ON_DISK = "ordinal % 7 <> 1"
+SHEET = [c for c in manifest.COLUMNS if c not in GIVEN]
+ERRORS = """list_sort(list_filter([case when id is null or regexp_matches(id, '\\s') then 'id' end, case when sample_type is null then 'sample_type' end,
+  case when read1 is not null and not regexp_matches(read1, '^\\S+\\.f(ast)?q\\.gz$') then 'read1 name' end, case when read2 is not null and not regexp_matches(read2, '^\\S+\\.f(ast)?q\\.gz$') then 'read2 name' end,
+  case when regexp_extract(read1, '\\.(f(?:ast)?q\\.gz)$', 1) <> regexp_extract(read2, '\\.(f(?:ast)?q\\.gz)$', 1) then 'pair suffix' end, case when read1 is null and read2 is not null then 'read1 missing' end], lambda x: x is not null))"""
+_KINDS = {"reads": ("read1", "read2", "dragen_path"), "cram": ("cram", "dragen_path"), "bam": ("bam", "dragen_path"), "results": ("dragen_path",), "none": ()}
+ENRICHED = f"""{manifest_queries.CLEAN}, base as (select ordinal, {", ".join(SHEET)}, {", ".join(f"{x} as {c}" for c, x in GIVEN.items())}, {LIST_OF} as fastq_list from m),
+  held as (select flowcell as list, id as rgsm, {PAIR_OF[0]} as r1, {PAIR_OF[1]} as r2 from m, unnest(['1', '2']) t(n) where read1 is null and ordinal % 9 <> 0),
+  listed as (select * from base where fastq_list is null union all select b.* replace (r1 as read1, r2 as read2, null as cram, null as bam) from base b left join held on list = fastq_list and rgsm = id where fastq_list is not null),
+  votes as ({ORACLE_SQL["fastq_index_vote"]}),
+  named as (select l.* replace (coalesce(l.i7index, nullif(v.i7index, 'UNKNOWN')) as i7index, coalesce(l.i5index, reverse(translate(v.i5index, 'ACGT', 'TGCA'))) as i5index, coalesce(l.flowcell, v.flowcell) as flowcell, coalesce(l.lane, v.lane) as lane)
+    from listed l left join votes v on v.file = 'f' || (ordinal % 40)::VARCHAR and read1 is not null),
+  enriched as ({" union all ".join(f"select * replace ({', '.join(f'null as {c}' for c in manifest.PATHS if c not in paths) or 'id as id'}), '{kind}' as kind from named where {paths[0] + ' is not null' if paths else 'read1 is null and cram is null and bam is null and dragen_path is null'}" for kind, paths in _KINDS.items())}),
+  ondisk as (select distinct unnest([read1, read2, cram, bam, dragen_path]) as path from enriched where {ON_DISK}),
+  told as (select *, nullif(concat_ws(',', nullif(array_to_string({ERRORS}, ','), ''), case when kind = 'none' then 'no input' end,
+    case when {" or ".join(f"({c} is not null and {c} not in (select path from ondisk where path is not null))" for c in manifest.PATHS)} then 'missing file' end), '') as errors from enriched)"""
+
+
+def enriched_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The enriched sheet, from fastq lists and FASTQ files that are written and read, and a listing of a folder with most of its files."""
+    own = manifest_queries.rows(spark, sf_dir)
+    base = own.select("ordinal", *SHEET, *(F.expr(x).cast("string").alias(c) for c, x in GIVEN.items()), F.expr(LIST_OF).alias("fastq_list"))
+    held = own.where("read1 is null and ordinal % 9 <> 0").withColumn("n", F.explode(F.array(F.lit("1"), F.lit("2"))))
+    lists, none = scratch_dir(spark, "fastq-lists"), F.lit(None).cast("string")
+    text_formats.write_csv(held.select(F.col("flowcell").alias("list"), none.alias("RGID"), F.col("id").alias("RGSM"), none.alias("RGLB"), none.alias("Lane"), F.expr(PAIR_OF[0]).alias("Read1File"), F.expr(PAIR_OF[1]).alias("Read2File")), lists, by="list")
+    votes = manifest_queries.fastq_index_vote(spark, sf_dir)
+    # the given tables have 40 files; a row's reads stand for one of them
+    listed = manifest.with_listed_reads(base, text_formats.read_fastq_lists(spark, lists)).withColumn("names_of", F.when(F.col("read1").isNotNull(), F.concat(F.lit("f"), (F.col("ordinal") % 40).cast("string"))))
+    enriched = cut(manifest.by_input(manifest.with_names(listed, votes, "names_of").drop("names_of")), "enriched")
+    there = enriched.where(ON_DISK).select(F.explode(F.array_compact(F.array(*manifest.PATHS))).alias("path"))
+    return enriched, manifest_queries.listing(spark, there)
+
+
+@query(f"with {ENRICHED} select * from told")
+def enriched_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole sheet with reads of lists, indexes of read names, one row per kind of input and what is wrong with each."""
+    enriched, listing = enriched_rows(spark, sf_dir)
+    return manifest.checked(enriched, listing)
+
+
+@query(f"with {ENRICHED} select ordinal, kind, fastq_list, {', '.join(manifest.COLUMNS)} from told where errors is null")
 def manifest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own, path = manifest_queries.rows(spark, sf_dir), scratch_dir(spark, "manifest")
-    text_formats.write_csv(own, path)
-    return again(own, path, ",")
+    """The valid rows of the enriched sheet as comma-separated text, read back."""
+    done, path = manifest.validate(*enriched_rows(spark, sf_dir)), scratch_dir(spark, "manifest")
+    text_formats.write_csv(done.valid, path)
+    return again(done.valid, path, ",")
+
+
+@query(f"with {ENRICHED} select ordinal, kind, errors from told where errors is not null")
+def manifest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejected rows of the enriched sheet with their reasons, from the same single write as the valid ones."""
+    return manifest.validate(*enriched_rows(spark, sf_dir)).rejected.select("ordinal", "kind", "errors")
 
 
 LISTS = f"""{manifest_queries.CLEAN}, lists as (select uid as list, concat_ws('.', flowcell, sample_id, i7index, i5index, lane) as "RGID", id as "RGSM", concat_ws('.', id, i7index, i5index) as "RGLB", lane as "Lane", read1 as "Read1File", read2 as "Read2File" from m where read1 is not null)"""
@@ -129,9 +182,9 @@ def published_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A result per sample in its own folder; publishing one sample again leaves the others alone."""
     path = scratch_dir(spark, "published")
     counts = view(spark, sf_dir, "reads").groupBy("sample", "chrom").agg(F.count("*").alias("reads"))
-    text_formats.publish(counts.withColumn("reads", F.when(F.col("sample") == "edited", F.col("reads")).otherwise(F.lit(0).cast("bigint"))), path)
-    text_formats.publish(counts.where("sample = 'control'"), path)
-    return spark.read.parquet(path).select("sample", "chrom", "reads")
+    published.publish(counts.withColumn("reads", F.when(F.col("sample") == "edited", F.col("reads")).otherwise(F.lit(0).cast("bigint"))), path)
+    published.publish(counts.where("sample = 'control'"), path)
+    return published.read_published(spark, path)
 
 
 @query(f"with {duck('versions')}, v as (select distinct split_part(process, ':', 3) as module, tool, version from versions_v) select module || ':' as value from v union select '    ' || tool || ': ' || string_agg(version, ',' order by version) from v group by module, tool")
@@ -149,7 +202,7 @@ def result_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     for suffix in ("bam", "vcf"):
         own.select("id", F.lit(suffix).alias("kind"), F.concat("id", F.lit(f".{suffix}")).alias("value")).write.mode("append").partitionBy("id", "kind").text(root)
     folders = own.select("id", F.concat(F.lit("/id="), F.col("id"), F.lit("/")).alias("folder"))
-    files = text_formats.list_files(spark, root).where("endswith(path, '.txt')").select(F.url_decode("path").alias("path"))
+    files = list_files(spark, root).where("endswith(path, '.txt')").select(F.url_decode("path").alias("path"))
     return manifest.expand_folders(folders, files.withColumn("folder", F.concat(F.lit("/id="), F.regexp_extract("path", "/id=([^/]+)/", 1), F.lit("/")))).groupBy("id").agg(F.count("*").alias("files"))
 
 
@@ -158,7 +211,7 @@ def result_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def validate_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All broken rules and missing files of the whole manifest; ``manifest.require_valid`` fails a job on any."""
     own = manifest_queries.rows(spark, sf_dir)
-    return manifest.findings(own, manifest.routes(own).where("ordinal % 4 != 1"))
+    return manifest.findings(own, manifest_queries.listing(spark, manifest.routes(own).where("ordinal % 4 != 1").select("path")))
 
 
 @query(f"""with {manifest_queries.CLEAN} select ordinal, uid, id, assay, i7index, i5index, flowcell, lane, read1, read2, null::VARCHAR as sample_type, null::VARCHAR as sample_id from m where read1 is not null and read2 is not null""")

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from urllib.parse import quote
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -9,6 +14,9 @@ from pyspark.sql import functions as F
 from locuslens.adapters import duck, view
 from locuslens.operators import manifest
 from locuslens.registry import query
+from locuslens.session import scratch_dir
+from locuslens.sources.fastq_names import read_fastq_names
+from locuslens.sources.listing import list_files
 
 PATHS = ("dragen_path", "read1", "read2", "cram", "bam", "sample_type")
 CLEAN = f"{duck('manifest')}, m as (select * replace ({', '.join(f'''nullif(trim({c}), '') as {c}''' for c in PATHS)}, lane::VARCHAR as lane), null::VARCHAR as sample_id from manifest_v)"
@@ -54,11 +62,28 @@ def manifest_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.row_errors(rows(spark, sf_dir))
 
 
+def listing(spark: SparkSession, paths: DataFrame) -> DataFrame:
+    """A folder in which every path of ``paths (path)`` is an empty file, made by tasks and listed: ``path``."""
+    root = scratch_dir(spark, "files")
+
+    def touch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, where = fs.FileSystem.from_uri(root)
+        system.create_dir(where, recursive=True)
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                system.open_output_stream(f"{where}/{quote(path, safe='')}").close()
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    made = paths.distinct().mapInArrow(touch, "n bigint").agg(F.sum("n").alias("n")).head().n
+    if not made:
+        return paths.distinct()
+    return list_files(spark, root).select(F.url_decode(F.element_at(F.split("path", "/"), -1)).alias("path"))
+
+
 @query(f"with {ROUTES} select * from routes where path not in (select path from routes where ordinal % 4 <> 1)")
 def missing_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = rows(spark, sf_dir)
-    # the listing stands for the files of a folder: three quarters of the paths exist
-    return manifest.missing_paths(own, manifest.routes(own).where("ordinal % 4 != 1"))
+    return manifest.missing_paths(own, listing(spark, manifest.routes(own).where("ordinal % 4 != 1").select("path")))
 
 
 @query(f"with {CLEAN} select ordinal, id, concat_ws('.', flowcell, sample_id, i7index, i5index, lane) as rgid, concat_ws('.', id, i7index, i5index) as rglb from m where read1 is not null")
@@ -167,7 +192,12 @@ def version_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
   r as (select *, row_number() over (partition by file order by votes desc, seen) as k from v)
   select file, votes, split_part(idx, '+', 1) as i7index, nullif(split_part(idx, '+', 2), '') as i5index, flowcell, lane from r where k = 1""")
 def fastq_index_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return manifest.index_vote(view(spark, sf_dir, "fastq"))
+    """The vote over FASTQ files, of which only the first names are read."""
+    path = scratch_dir(spark, "fastq")
+    records = view(spark, sf_dir, "fastq").select("file", "row", F.concat_ws("\n", "name", "seq", F.lit("+"), "quality").alias("value"))
+    records.repartition("file").sortWithinPartitions("file", "row").select("file", "value").write.partitionBy("file").option("compression", "gzip").text(path)
+    names = read_fastq_names(spark, path).withColumn("file", F.regexp_extract("file", r"/file=([^/]+)/", 1))
+    return manifest.index_vote(names)
 
 
 @query(f"with {CLEAN}, l as (select id as rgsm, read1 as read1file, read2 as read2file, '/lists/' || flowcell || '.csv' as list from m where read1 is not null) select m.ordinal, m.id, l.read1file, l.read2file from m join l on l.rgsm = m.id and l.list = '/lists/' || m.flowcell || '.csv' where m.sample_type is not null")

@@ -51,7 +51,7 @@ def cnv_track(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cnv.cnv_track(view(spark, sf_dir, "vaf"), view(spark, sf_dir, "coverage"))
 
 
-@query(f"with {duck('fastq')}, c as (select substr(seq, 1, 32) as start, count(*) as n from fastq_v group by 1) select start, n from c where n >= 0.001::DOUBLE * (select count(*) from fastq_v)")
+@query(f"with {duck('fastq')}, c as (select seq as start, count(*) as n from fastq_v group by 1) select start, n from c where n >= 0.001::DOUBLE * (select count(*) from fastq_v)")
 def qc_overrepresented(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qc.overrepresented(view(spark, sf_dir, "fastq"))
 

@@ -120,11 +120,6 @@ def read_fastq_lists(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.regexp_replace(F.url_decode(folder), "^list=", "").alias("list"), *FASTQ_LIST)
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """``path, length`` of every file below ``path``; contents are not read."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
-
-
 def write_alignments(reads: DataFrame, path: str) -> None:
     """Alignments as Parquet, one folder per contig and sorted by place, so that a region reads few row groups."""
     reads.repartitionByRange("chrom", "pos").sortWithinPartitions("chrom", "pos").write.partitionBy("chrom").mode("overwrite").parquet(path)
@@ -159,9 +154,3 @@ def write_csv(df: DataFrame, path: str, by: str | None = None) -> None:
 def write_lines(lines: DataFrame, path: str, order: list[str]) -> None:
     """The ``value`` column as text in global order (ranges of rows, sorted, one file each)."""
     lines.repartitionByRange(*order).sortWithinPartitions(*order).select("value").write.mode("overwrite").text(path)
-
-
-def publish(results: DataFrame, path: str, sample: str = "sample") -> None:
-    """Results of each sample in a folder of its own; folders of samples that ``results`` lacks stay."""
-    writer = results.write.mode("overwrite").partitionBy(sample).option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
