@@ -172,8 +172,12 @@ def training_rows(docs: DataFrame, usable: Column, key: str = "doc_id", text: st
     return [rows[k] for k in order]
 
 
-def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", gap: float = 0.15, carry: tuple[str, ...] = (), limit: float | None = None) -> DataFrame:
-    """``key``, ``carry`` columns, ``lang_pred``, ``score`` and ``ambiguous`` for every row of ``docs``; ``und`` beyond a loss of ``limit``."""
+def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", gap: float = 0.15, carry: tuple[str, ...] = (), limit: float | None = None, least_bytes: int = 32) -> DataFrame:
+    """``key``, ``carry`` columns, ``lang_pred``, ``score`` and ``ambiguous`` for every row of ``docs``.
+
+    Texts beyond a loss of ``limit`` are ``und``, but for those of fewer than ``least_bytes`` bytes: they hold too few
+    n-grams for their loss to tell that they belong to no learned language.
+    """
     keep = (key, *carry)
     schema = with_fields(docs.select(*keep).schema, "lang_pred string, score double, ambiguous boolean")
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -191,7 +195,7 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
                     names[i], scores[i], flags[i] = own.languages[b], float(min(1.0, s)), bool(a < gap)
                 if limit is not None:
                     for i, far in zip(known, least_loss(margins, own) > limit, strict=True):
-                        names[i], scores[i] = (UNKNOWN, 0.0) if far else (names[i], scores[i])
+                        names[i], scores[i] = (UNKNOWN, 0.0) if far and len(texts[i].encode()) >= least_bytes else (names[i], scores[i])
             columns = [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(flags, pa.bool_())]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *columns], names=[*keep, "lang_pred", "score", "ambiguous"])
 
