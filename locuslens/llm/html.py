@@ -46,18 +46,38 @@ WORDS = {
     "frame": "header masthead footer foot copyright legal colophon branding logo bottom contentinfo banner",
     "side": "sidebar side aside widget related recommended trending popular archive tags complementary more rail",
     "advert": "ad ads advert advertisement adsense sponsor sponsored promo promotion promoted commercial outbrain taboola dfp",
-    "notice": "cookie cookies consent gdpr notice alert popup modal overlay banner-message paywall disclaimer warning newsletter subscribe signup",
+    "notice": "cookie cookies consent gdpr popup modal overlay paywall newsletter subscribe signup",
+    "caution": "notice alert warning disclaimer info note tip message",
     "comment": "comment comments reply replies respond discussion disqus commentlist thread reader responses",
     "form": "form search login signin register contact share social follow buttons",
     "text": "article content post entry story main body text prose article-body post-content entry-content hentry",
 }
 WORD_OF = {w: k for k, ws in WORDS.items() for w in ws.split()}
+#: Words that say nothing about a part of a page when they stand beside one that does (fixed vocabulary).
+GENERIC = frozenset("box list block container wrapper wrap area section item items bar bars link links inner outer group holder panel module page site title icon button btn left right center top row col column js id x the and".split())
 GROUPS = tuple(WORDS)
+#: Groups that name a part other than the text; "caution" marks texts as well as notices.
+BOILER = frozenset(GROUPS) - {"text", "caution"}
+TEXTUAL = frozenset(("p", "h", "list", "li", "quote", "table", "inline"))
 RELATIONS = ("container", "text", "boiler")
-NAMES = ("bias", *(f"kind={k}" for k in KINDS), *(f"word={g}" for g in GROUPS), "links<.1", "links<.5", "links>=.5", "no text", "short", "medium", "long", "sentence", "first h1", "under article", "many words below")
+NAMES = (
+    "bias", *(f"kind={k}" for k in KINDS), *(f"word={g}" for g in GROUPS), *(f"part={g}" for g in GROUPS), "links<.1", "links<.5", "links>=.5", "no text", "short", "medium", "long", "sentence", "first h1", "under article", "many words below",
+    "under boiler", "links below", "run", "holds run", "bare text", "bare run", "great share", "boiler title", "before boiler", "after run", "list under article",
+)
 INDEX = {n: i for i, n in enumerate(NAMES)}
 
 
+def name_groups(value: str) -> set[str]:
+    """Groups that class names, ids or roles belong to: ``word:g`` if the whole name says so, ``part:g`` if other words stand beside it."""
+    found = set()
+    for name in value.split():
+        words = [w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower()) if w]
+        known = {WORD_OF[w] for w in words if w in WORD_OF}
+        other = any(w not in WORD_OF and w not in GENERIC and len(w) > 1 for w in words)
+        found |= {f"{'part' if other else 'word'}:{g}" for g in known}
+    return found
+
+
 class Page:
     """Nodes in document order: parent, features and relation; text pieces with their node."""
 
@@ -136,11 +156,10 @@ class Page:
             gone = False
             if rest and ("=" in rest or "hidden" in rest):
                 for a in ATTRIBUTE.finditer(rest):
-                    key, value = (a[1] or "").lower(), (a[2] or a[3] or a[4] or "").lower()
+                    key, named = (a[1] or "").lower(), a[2] or a[3] or a[4] or ""
+                    value = named.lower()
                     if key in ("class", "id", "role"):
-                        for w in re.split(r"[^a-z]+", value):
-                            if w in WORD_OF:
-                                words.add(WORD_OF[w])
+                        words |= name_groups(named)
                     elif key == "style":
                         gone |= "display:none" in value.replace(" ", "")
                     elif key == "hidden":
@@ -168,18 +187,34 @@ class Page:
 
     def _describe(self, kinds, groups, own_text, own_links) -> None:
         n = len(self.parent)
+        parent = self.parent
         chars = [sum(map(len, t)) for t in own_text]
-        below, inside = chars[:], [False] * n
+        texts = [" ".join(own_text[i]).strip() if chars[i] else "" for i in range(n)]
+        named = [{g[5:] for g in gs if g.startswith("word:")} for gs in groups]
+        below, linked, inside, boiled = chars[:], own_links[:], [False] * n, [False] * n
+        marked = [kinds[i] in ("nav", "footer", "aside", "form") or bool(named[i] & BOILER) for i in range(n)]
+        # paragraphs side by side; of text that is not a link
+        paragraphs, last_child, before = [0] * n, [-1] * n, [False] * n
+        plain = [kinds[i] in ("p", "quote") and len(texts[i]) - own_links[i] >= 40 and not marked[i] for i in range(n)]
+        for i in range(1, n):
+            paragraphs[parent[i]] += plain[i]
+            if marked[i] and last_child[parent[i]] > 0 and kinds[last_child[parent[i]]] == "h":
+                before[last_child[parent[i]]] = True  # a heading right in front of a marked part
+            last_child[parent[i]] = i
         for i in range(n - 1, 0, -1):
-            below[self.parent[i]] += below[i]
+            below[parent[i]] += below[i]
+            linked[parent[i]] += linked[i]
         total = max(1, below[0])
+        bare = not any(k in ("article", "main") for k in kinds) and not any("text" in g for g in named)
         self.features, self.relation = [], []
+        ran: set[int] = set()  # parents whose run of paragraphs has begun
         for i in range(n):
-            up = self.parent[i]
+            up = parent[i]
             inside[i] = up >= 0 and (inside[up] or kinds[up] in ("article", "main"))
+            boiled[i] = up >= 0 and (boiled[up] or marked[up])
             f = [0, INDEX[f"kind={kinds[i]}"]]
-            f += [INDEX[f"word={g}"] for g in groups[i] if g != "h1"]
-            text = " ".join(own_text[i]).strip() if chars[i] else ""
+            f += [INDEX[g.replace(":", "=")] for g in groups[i] if g != "h1"]
+            text = texts[i]
             if not text:
                 f.append(INDEX["no text"])
             else:
@@ -188,14 +223,20 @@ class Page:
                 f.append(INDEX["short" if len(text) < 40 else "medium" if len(text) < 160 else "long"])
                 if text[-1] in ".!?…\"”'":
                     f.append(INDEX["sentence"])
-            if i and "h1" in groups[i]:
-                f.append(INDEX["first h1"])
-            if inside[i]:
-                f.append(INDEX["under article"])
-            if below[i] * 2 >= total:
-                f.append(INDEX["many words below"])
+                if chars[i] * 10 >= total:
+                    f.append(INDEX["great share"])
+            told = {
+                "first h1": i and "h1" in groups[i], "under article": inside[i], "many words below": below[i] * 2 >= total, "under boiler": boiled[i],
+                "links below": below[i] and linked[i] * 2 >= below[i], "run": up >= 0 and plain[i] and paragraphs[up] >= 2, "holds run": paragraphs[i] >= 2,
+                "bare text": bare and not boiled[i] and not marked[i] and (kinds[i] in TEXTUAL or bool(text)) and linked[i] * 2 < max(1, below[i]), "bare run": bare and paragraphs[i] >= 1 and not boiled[i] and not marked[i],
+                "boiler title": kinds[i] == "h" and len(text) < 40 and any(WORD_OF.get(w) in BOILER for w in re.split(r"[^a-z]+", text.lower())) and bool(text), "before boiler": before[i],
+                "after run": up >= 0 and up in ran and not plain[i], "list under article": inside[i] and not boiled[i] and kinds[i] in ("list", "li"),
+            }
+            f += [INDEX[name] for name, holds in told.items() if holds]
+            if up >= 0 and plain[i]:
+                ran.add(up)
             self.features.append(f)
-            boiler = kinds[i] in ("nav", "header", "footer", "aside", "form") or bool(groups[i] - {"h1", "text"})
+            boiler = kinds[i] in ("nav", "header", "footer", "aside", "form") or bool(named[i] & BOILER)
             self.relation.append(2 if boiler else 1 if kinds[i] in ("p", "h", "li", "quote", "inline") else 0)
 
 
@@ -231,7 +272,7 @@ def marginals(page: Page, unary: list[float], edge: list[list[float]]) -> tuple[
     return [math.exp(min(0.0, v - log_z)) for v in out1], pairs, log_z
 
 
-def labelled_pages(count: int = 80, seed: int = 11) -> list[str]:
+def labelled_pages(count: int = 160, seed: int = 11) -> list[str]:
     """Labelled training pages from a grammar of page parts; ``data-y`` marks content elements."""
     r = random.Random(seed)
     stems = ["al", "ber", "con", "dor", "el", "fin", "gra", "hu", "ist", "jo", "ka", "lor", "mi", "nu", "or"]
@@ -243,13 +284,25 @@ def labelled_pages(count: int = 80, seed: int = 11) -> list[str]:
     def links(n: int, tag: str = "li") -> str:
         return "".join(f"<{tag}><a href='/{i}'>{words(1, 2, False)}</a></{tag}>" for i in range(n))
 
-    def body(y: int) -> str:
+    def odd() -> str:
+        """Names on content that hold a word of another part, or say nothing."""
+        if r.random() < 0.85:
+            return ""
+        other = r.choice(stems) + r.choice(stems)
+        word = r.choice([w for g in ("side", "form", "frame", "menu", "notice", "comment", "advert") for w in WORDS[g].split()])
+        return f" class='{r.choice([f'{word}-{other}', f'{other}-{word}', other, 'lead', 'warning', 'note', 'info', 'alert'])}'"
+
+    def body(y: int, least: int = 1) -> str:
         mark, parts = f' data-y="{y}"', []
-        for _ in range(r.randint(1, 8)):
+        for _ in range(r.randint(least, r.choice([least, 4, 8]))):
             kind = r.random()
             if kind < 0.62:
-                text = words(1, 70, r.random() < 0.85)
-                parts.append(f"<p{mark}>{'<b>' * (r.random() < 0.2)}{text}" + "</p>" * (r.random() < 0.8))
+                text = words(r.choice([1, 4, 8]), r.choice([8, 30, 70]), r.random() < 0.85)
+                parts.append(f"<p{mark}{odd()}>{'<b>' * (r.random() < 0.2)}{text}" + "</p>" * (r.random() < 0.8))
+            elif kind < 0.65:
+                parts.append(f"<ul{mark}>" + "".join(f"<li{mark}><a href='/{i}'>{words(2, 8, r.random() < 0.3)}</a></li>" for i in range(r.randint(1, 5))) + "</ul>")
+            elif kind < 0.67:
+                parts.append(f"<section{mark}{odd()}><h2{mark}>{words(1, 5, False)}</h2><p{mark}>{words(4, 40)}</p></section>")
             elif kind < 0.72:
                 parts.append(f"<ul{mark}>" + "".join(f"<li{mark}>{words(2, 25)}</li>" for _ in range(r.randint(1, 4))) + "</ul>")
             elif kind < 0.82:
@@ -270,11 +323,16 @@ def labelled_pages(count: int = 80, seed: int = 11) -> list[str]:
             lambda: f"<form class='{r.choice(['search', 'subscribe', 'login', 'x'])}'><label>{words(1, 4, False)}</label><p>{words(2, 12)}</p></form>",
             lambda: f"<div class='{r.choice(['share', 'social', 'tags', 'breadcrumb'])}'>{links(3, 'span')}</div>",
             lambda: f"<aside><p>{words(4, 40)}</p><p>{words(4, 40)}</p></aside>",
+            lambda: f"<div class='{r.choice(['alert', 'notice', 'site-notice', 'warning message'])}'>{r.choice(['<p>', ''])}{words(3, 20)}</div>",
+            lambda: f"<div><h3>{r.choice(['Related posts', 'Popular', 'Share this', 'More', 'Trending', 'Tags'])}</h3><ul>{links(r.randint(2, 6))}</ul></div>",
+            lambda: f"<div>{links(r.randint(3, 8), 'span')}</div>",
         ])()
 
     def comments() -> str:
         box, one = r.choice(["section", "div", "ol"]), r.choice(["div", "li", "article", "p"])
-        return f"<{box} {r.choice(['class', 'id'])}='{r.choice(['comments', 'comment-list', 'replies', 'discussion'])}'><h3>{words(1, 2, False)}</h3>" + "".join(f"<{one} class='comment'><p>{words(3, 50)}</p></{one}>" for _ in range(r.randint(1, 5))) + f"</{box}>"
+        head = r.choice([words(1, 2, False), "Comments", f"{r.randint(1, 90)} Comments", "Discussion", "Leave a reply", "Replies"])
+        name = r.choice([f" {r.choice(['class', 'id'])}='{r.choice(['comments', 'comment-list', 'replies', 'discussion'])}'"] * 3 + [""])
+        return f"<{box}{name}><h3>{head}</h3>" + "".join(f"<{one} class='comment'><p>{words(3, 50)}</p></{one}>" for _ in range(r.randint(1, 5))) + f"</{box}>"
 
     pages = []
     for _ in range(count):
@@ -294,21 +352,30 @@ def labelled_pages(count: int = 80, seed: int = 11) -> list[str]:
             main = f'<main data-y="1"><article data-y="1">{title}{inner}</article></main>'
         elif shape < 0.8:
             main = f'<main data-y="1">{title}{inner}</main>'
-        elif shape < 0.93:
-            main = f'<div class="{r.choice(["content", "post", "entry", "article-body", "story"])}" data-y="1">{title}{inner}</div>'
-        else:
+        elif shape < 0.87:
+            main = f'<div class="{r.choice(["content", "post", "entry", "article-body", "story", "page-content", "post-body"])}" data-y="1">{title}{inner}</div>'
+        elif shape < 0.91:
             main = f'<div data-y="1">{title}{inner}{body(1)}</div>'
+        elif shape < 0.95:  # straight in the body
+            main = f"{title}{inner}{body(1, 2)}"
+        else:  # plain containers
+            deep = r.randint(1, 3)
+            names = r.choice([["container", "row", "col"], ["wrap", "inner", "col-md-8"], ["", "", ""]])[:deep]
+            open_ = "".join(f'<div class="{n}" data-y="1">' if n else '<div data-y="1">' for n in names)
+            text = r.choice([f"{title}{inner}{body(1)}", "".join(f'<div data-y="1">{words(8, 50)}</div>' for _ in range(r.randint(2, 4)))])
+            main = f"{open_}{text}{'</div>' * deep}"
         parts = [boiler() for _ in range(r.randint(0, 2))]
         tail = [boiler() for _ in range(r.randint(0, 2))] + [comments()] * (r.random() < 0.3)
         whole = f"{head}{''.join(parts)}{main}{''.join(tail)}{foot}"
         if r.random() < 0.25:
             whole = f"<div id='{r.choice(['page', 'wrapper', 'container'])}'>{whole}</div>"
+        # a body holds content only if text stands straight in it
         pages.append(f"<html><head><title>{words(2, 5)}</title></head><body>{whole}</body></html>")
     return pages
 
 
 @lru_cache(maxsize=4)
-def fit(count: int = 80, seed: int = 11, steps: int = 150, rate: float = 0.5, ridge: float = 2e-3) -> tuple[list[float], list[list[float]]]:
+def fit(count: int = 160, seed: int = 11, steps: int = 150, rate: float = 0.5, ridge: float = 2e-3) -> tuple[list[float], list[list[float]]]:
     """Maximum-likelihood weights from the labelled pages: observed minus expected counts, by sum-product."""
     pages = [Page(p) for p in labelled_pages(count, seed)]
     unary, edge = np.zeros(len(NAMES)), np.zeros((len(RELATIONS), 4))
