@@ -38,9 +38,9 @@ BLANK, OFFSET = "▁", 2.7
 #: Steps of a path whose branches are on the agenda one by one; those of later steps share one entry.
 STEPS = 48
 #: Nodes above which a worker thins out its lattice cache (memory only, not results).
-CACHE_NODES = 1_200_000
+CACHE_NODES = 500_000
 #: Characters that are looked up at once, and characters of the texts that are searched together.
-PART, GROUP = 400_000, 400_000
+PART, GROUP = 200_000, 200_000
 MASK = 0xFFFFFFFFFFFFFFFF
 
 
