@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from locuslens.operators import intervals
-from locuslens.session import cut, table
+from locuslens.session import table
+from locuslens.sources.reference_store import store_reference
 
 
 def dna(key: str) -> str:
@@ -100,13 +101,14 @@ def duck(name: str) -> str:
 
 
 def reference(spark: SparkSession, sf_dir: str, reach: int = 600) -> DataFrame:
-    """Reference tiles from generated chunks of 32 bases around all sites, written once."""
+    """A stored reference from generated chunks of 32 bases around all sites."""
     chunks = spark.sql(
         f"""select distinct chrom, chunk, {dna("chrom || ':' || cast(chunk as string)")} as bases from
         (select chrom, explode(sequence(cast(greatest(0, floor((start - {reach}) / 32)) as bigint), cast(floor((start + {reach}) / 32) as bigint))) as chunk from {{sites}}) c""",
         sites=view(spark, sf_dir, "sites"),
     )
-    return cut(intervals.reference_tiles(chunks), "reference")
+    # looked up once by most queries, so packing would not pay
+    return store_reference(intervals.reference_tiles(chunks), pack=False)
 
 
 def duck_slice(chrom: str, start: str, end: str) -> str:

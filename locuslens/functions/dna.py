@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,6 +13,11 @@ REFERENCE_OPS, QUERY_OPS, CLIP_OPS = "MDN", "MI", "SHP=X"
 PAIRED, PROPER, UNMAPPED, MATE_UNMAPPED, REVERSE, MATE_REVERSE, FIRST, SECOND, SECONDARY, DUPLICATE, SUPPLEMENTARY = 0x1, 0x2, 0x4, 0x8, 0x10, 0x20, 0x40, 0x80, 0x100, 0x400, 0x800
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row, also where ``body`` uses it inside a lambda (a projected column would be inlined there)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def has_flag(bits: int, flag: str = "flag") -> Column:
     """Any of ``bits`` is set."""
     return F.col(flag).bitwiseAND(F.lit(bits)) != 0

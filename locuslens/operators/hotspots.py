@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from locuslens.operators import intervals
+from locuslens.sources.reference_store import unpacked
 
 
 #: Header lines of the position list (fixed format).
@@ -26,7 +27,8 @@ def positions(windows: DataFrame, reference: DataFrame) -> DataFrame:
     last = lambda c: F.greatest(F.lit(0), F.col(c) - 1)
     merged = intervals.merge(windows).select("*", F.explode(F.sequence(F.floor(last("start") / size), F.floor(last("end") / size))).alias("tile"))
     listed = merged.select("chrom", "tile", F.greatest("start", F.when(F.col("tile") > 0, F.col("tile") * size + 1).otherwise(F.lit(0))).alias("a"), F.least("end", (F.col("tile") + 1) * size).alias("b"))
-    slice_ = F.substring("bases", (F.greatest("a", F.lit(1)) - F.col("tile") * size).cast("int"), (F.col("b") - F.col("a") + 1).cast("int"))
+    at, n = F.greatest("a", F.lit(1)) - F.col("tile") * size, F.col("b") - F.col("a") + 1
+    slice_ = unpacked(at - 1, n) if "packed" in reference.columns else F.substring("bases", at.cast("int"), n.cast("int"))
     met = listed.join(reference, ["chrom", "tile"], "left").select("chrom", F.greatest("a", F.lit(1)).alias("from"), slice_.alias("bases"), F.explode(F.sequence("a", "b")).alias("pos"))
     base = F.when(F.col("pos") > 0, F.nullif(F.substring("bases", (F.col("pos") - F.col("from") + 1).cast("int"), F.lit(1)).cast("string"), F.lit("")))
     return met.select("chrom", "pos", base.alias("base"), F.lit("N").alias("alt"))

@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from locuslens.session import cut, in_memory_bytes
+from locuslens.sources.reference_store import unpacked
 
 
 def _bins(start: Column, end: Column, width: int) -> Column:
@@ -97,16 +98,19 @@ def fetch_sequence(df: DataFrame, tiles: DataFrame, chrom: str, start: str, end:
 
     Distinct slices are cut at tile borders, looked up by one equi join and put together again, so a slice
     may be of any length; rows then meet their slice by its place. Rows without a slice are dealt over many
-    join keys, so that none holds them all.
+    join keys, so that none holds them all. ``tiles`` hold ``bases`` or are a stored reference, which does not move.
     """
     valid = (F.col(start) >= 0) & (F.col(end) > F.col(start))
     asked = df.where(valid).select(F.col(chrom).alias("_c"), F.col(start).alias("_s"), F.col(end).alias("_e")).distinct()
     parts = asked.select("*", F.explode(F.sequence(F.floor(F.col("_s") / TILE), F.floor((F.col("_e") - 1) / TILE))).alias("_t"))
-    known = tiles.select(F.col("chrom").alias("_kc"), F.col("tile").alias("_kt"), "bases")
+    stored = "packed" in tiles.columns
+    known = tiles.select(F.col("chrom").alias("_kc"), F.col("tile").alias("_kt"), *(("size", "packed", "lower", "other") if stored else ("bases",)))
+    known = known.hint("merge") if stored else known
     met = parts.join(known, (F.col("_c") == F.col("_kc")) & (F.col("_t") == F.col("_kt")))
     a = F.greatest(F.col("_s") - F.col("_t") * TILE, F.lit(0))
     size = F.least(F.col("_e") - F.col("_t") * TILE, F.lit(TILE)) - a
-    pieces = met.select("_c", "_s", "_e", "_t", F.substring("bases", (a + 1).cast("int"), size.cast("int")).cast("string").alias("_p"))
+    piece = unpacked(a, size) if stored else F.substring("bases", (a + 1).cast("int"), size.cast("int")).cast("string")
+    pieces = met.select("_c", "_s", "_e", "_t", piece.alias("_p"))
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_t", "_p"))), lambda x: x._p), "")
     slices = pieces.groupBy("_c", "_s", "_e").agg(text.alias(out)).where(F.length(out) == F.col("_e") - F.col("_s"))
     plain = [F.col(f"`{f.name}`") for f in df.schema.fields if f.dataType.simpleString() in ("string", "bigint", "int")]

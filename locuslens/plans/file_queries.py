@@ -70,6 +70,14 @@ def report_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return again(report, path)
 
 
+@query()
+def scored_report_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report with control scores as sorted text, read back."""
+    report, path = locus_queries.locus_report(spark, sf_dir), scratch_dir(spark, "report")
+    text_formats.write_tsv(report, path, ["chrom", "start"])
+    return again(report, path)
+
+
 @query(f"select * from ({ORACLE_SQL['junctions_discordant']}) union all select * from ({ORACLE_SQL['junctions_split']})")
 def junction_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All junctions, sorted by place, as text, read back."""

@@ -46,6 +46,8 @@ FIXED = ("tinyint", "smallint", "int", "bigint", "float", "double", "boolean", "
 
 #: Folders written by ``cut`` and ``scratch_dir`` in this process, until ``remove_written``.
 WRITTEN: list[str] = []
+#: Names of tables that lie in such folders.
+TABLES: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -78,6 +80,8 @@ def cut(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
 
 def remove_written(spark: SparkSession) -> None:
     """Delete what ``cut`` and ``scratch_dir`` wrote; results that still read it must be finished or written."""
+    while TABLES:
+        spark.sql(f"drop table if exists {TABLES.pop()}")
     while WRITTEN:
         path = spark._jvm.org.apache.hadoop.fs.Path(WRITTEN.pop())
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
