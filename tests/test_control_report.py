@@ -84,3 +84,16 @@ def test_support_counts_by_brute_force(spark):
         want[(locus, pos, ref, alt, tag)] = count
     assert {tuple(x)[:5]: x.control_alt for x in found.collect()} == want
     assert sum(want.values()) > 10
+
+
+def test_the_scored_report_as_a_file(small):
+    """Written sorted and read back, it is the report that the control's alleles have left."""
+    from locuslens.plans import file_queries
+
+    report, text = locus_queries.locus_report(small, "").collect(), file_queries.scored_report_tsv(small, "").collect()
+    assert text == report and len(text) == 1 and text[0].indel_info.startswith("chr1:311:")
+
+
+def test_support_tells_alleles_apart_by_all_columns(small):
+    found = locus_queries.control_support(small, "")
+    assert {"chrom", "chrom2", "pos2", "strands"} <= set(found.columns) and found.count() == 3
