@@ -1,6 +1,8 @@
 """Intervals, the control aligner, junctions, signal modes and text formats on small inputs."""
 
+import math
 import random
+import statistics
 
 import numpy as np
 import pytest
@@ -114,6 +116,37 @@ def test_modes(spark):
     assert abs(got["two"][0] - 0.25) < 0.03 and abs(got["two"][1] - 0.75) < 0.03
 
 
+def plain_density(scores: list[float], grid: int = 1000) -> list[float]:
+    """The kernel sum of every score at every grid point, in the order given."""
+    h = statistics.stdev(scores) * len(scores) ** -0.2
+    return [math.fsum(math.exp(-0.5 * ((g / (grid - 1) - x) / h) ** 2) for x in scores) for g in range(grid)]
+
+
+def test_density_equals_plain_kernel_sum(spark):
+    r = random.Random(10)
+    cases = {
+        "two": [r.gauss(0.3, 0.05) if i % 2 else r.gauss(0.8, 0.03) for i in range(400)],
+        "ties": [round(r.random(), 1) for _ in range(300)], "few": [r.random() for _ in range(21)],
+        "outside": [r.uniform(-3, 4) for _ in range(60)], "far": [0.5] * 25 + [1e6, -1e6],
+        "narrow": [500 / 999 + 1e-7 * (i % 2) for i in range(40)], "apart": [0.1 + 1e-4 * r.random() for _ in range(60)] + [0.9],
+    }
+    rows = [(c, 10, s, i) for c, scores in cases.items() for i, s in enumerate(scores)]
+    vaf = spark.createDataFrame(rows + [("two", 10, None, 400)], "chrom string, end long, score double, ordinal long")
+    density = cnv.densities(vaf.where("score is not null"))
+    got = {(x.chrom, x.g): x.density for x in density.collect()}
+    modes = {(x.chrom, x.g) for x in cnv.raw_modes(density).collect()}
+    for c, scores in cases.items():
+        plain = plain_density(scores)
+        rounding = 1e-15 * len(scores) * (1 + 1 / (statistics.stdev(scores) * len(scores) ** -0.2))  # of the coordinates over h, in either sum
+        assert max(abs(got.get((c, g), 0.0) - d) for g, d in enumerate(plain)) < rounding, c
+        flat = [round(d, 9) for d in plain]
+        assert {g for k, g in modes if k == c} == {g for g in range(1, 999) if flat[g - 1] < flat[g] > flat[g + 1]}, c
+    assert ("narrow", 500) in modes and ("narrow", 499) not in got
+    terms = cnv.kernel_cells(spark.range(50_000).selectExpr("'c' as chrom", "10L as end", "(id * 7919 % 50000) / 50000.0D as score", "id as ordinal"))
+    assert terms.count() < 70  # cells by the bandwidth, not by the number of scores
+    assert cnv.modes(cnv.densities(vaf.where("false"))).count() == 0
+
+
 def test_text_formats(spark, tmp_path):
     (tmp_path / "m.tsv").write_text("id\tuid\na\t1\n")
     assert text_formats.read_manifest(spark, str(tmp_path / "m.tsv")).first().asDict() == {"id": "a", "uid": "1"}
