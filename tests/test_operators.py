@@ -76,6 +76,28 @@ def test_aligner_scores():
     assert deleted[0] == 3 and inserted[0] == 0 and deleted[1] == 0 and inserted[1] == 2 and score[0] == 5 * 77 - 12
 
 
+def test_traced_alignment_equals_carried_totals():
+    r = random.Random(11)
+    base = lambda n, letters="ACGT": "".join(r.choice(letters) for _ in range(n))
+    pairs = []
+    for letters in ("ACGT", "AC", "A"):  # repeats make many equal paths
+        for _ in range(120):
+            t = base(r.randint(1, 90), letters)
+            a, b = sorted((r.randint(0, len(t)), r.randint(0, len(t))))
+            pairs.append((r.choice([t[:a] + t[b:], t[:a] + base(r.randint(1, 12), letters) + t[a:], base(r.randint(1, 60), letters)]) or "A", t))
+    queries, targets = map(list, zip(*pairs, strict=True))
+    for got, want in zip(control.traced(queries, targets), control.align(queries, targets), strict=True):
+        assert got.tolist() == want.tolist()
+    halves = control.CELLS
+    try:
+        control.CELLS = 40_000  # in halves, and a long pair alone by the carried totals
+        for got, want in zip(control.traced([*queries, base(300)], [*targets, base(300)]), control.align([*queries, base(300)], [*targets, base(300)]), strict=True):
+            assert got.tolist()[:-1] == want.tolist()[:-1]
+    finally:
+        control.CELLS = halves
+    assert [len(c) for c in control.traced([], [])] == [0, 0, 0]
+
+
 def test_control_support_needs_the_same_gap(spark):
     r = random.Random(8)
     genome = "".join(r.choice("ACGT") for _ in range(640))
