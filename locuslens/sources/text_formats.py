@@ -120,6 +120,19 @@ def read_fastq_lists(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.regexp_replace(F.url_decode(folder), "^list=", "").alias("list"), *FASTQ_LIST)
 
 
+def write_lists_together(lists: DataFrame, path: str) -> None:
+    """Fastq lists ``(list, ...)`` as sheets that hold many lists, each whole and in one file, with its name as first column.
+
+    ``write_csv`` by list makes a folder and a file per list, which suits few lists; the files here follow the amount of data.
+    """
+    lists.select("list", *FASTQ_LIST).repartition("list").sortWithinPartitions("list").write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
+
+
+def read_lists_together(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of all lists that ``write_lists_together`` wrote, with the columns of ``read_fastq_lists``."""
+    return spark.read.csv(path, header=True, schema=", ".join(f"{c} string" for c in ["list", *FASTQ_LIST]))
+
+
 def write_alignments(reads: DataFrame, path: str) -> None:
     """Alignments as Parquet, one folder per contig and sorted by place, so that a region reads few row groups."""
     reads.repartitionByRange("chrom", "pos").sortWithinPartitions("chrom", "pos").write.partitionBy("chrom").mode("overwrite").parquet(path)
