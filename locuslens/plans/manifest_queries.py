@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from urllib.parse import quote
-
-import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -16,7 +11,7 @@ from locuslens.operators import manifest
 from locuslens.registry import query
 from locuslens.session import scratch_dir
 from locuslens.sources.fastq_names import read_fastq_names
-from locuslens.sources.listing import list_files
+from locuslens.sources.listing import list_files, make_files
 
 PATHS = ("dragen_path", "read1", "read2", "cram", "bam", "sample_type")
 CLEAN = f"{duck('manifest')}, m as (select * replace ({', '.join(f'''nullif(trim({c}), '') as {c}''' for c in PATHS)}, lane::VARCHAR as lane), null::VARCHAR as sample_id from manifest_v)"
@@ -65,17 +60,7 @@ def manifest_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def listing(spark: SparkSession, paths: DataFrame) -> DataFrame:
     """A folder in which every path of ``paths (path)`` is an empty file, made by tasks and listed: ``path``."""
     root = scratch_dir(spark, "files")
-
-    def touch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, where = fs.FileSystem.from_uri(root)
-        system.create_dir(where, recursive=True)
-        for batch in batches:
-            for path in batch.column(0).to_pylist():
-                system.open_output_stream(f"{where}/{quote(path, safe='')}").close()
-            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
-
-    made = paths.distinct().mapInArrow(touch, "n bigint").agg(F.sum("n").alias("n")).head().n
-    if not made:
+    if not make_files(paths.select(F.url_encode("path").alias("name")), root):
         return paths.distinct()
     return list_files(spark, root).select(F.url_decode(F.element_at(F.split("path", "/"), -1)).alias("path"))
 
