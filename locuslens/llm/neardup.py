@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from locuslens.llm.common import connected, small_batches, with_fields
+from locuslens.llm.common import connected, joined_components, small_batches, with_fields
 from locuslens.session import cut
 
 MIX = tuple(np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3))
@@ -184,7 +184,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     wanted = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(sought, F.col("_key") == F.col("_least")).select("id", "want", "_text")
     grams = cut(full_sets(wanted, width), "shingle-sets")
 
-    tested = links = labels = None
+    tested = labels = None
     for turn in range(passes):
         if labels is None:
             hub = member.groupBy("bucket").agg(F.max(F.struct("central", -F.col("rep"), "n")).alias("h")).select("bucket", (-F.col("h.col2")).alias("hub"), F.col("h.n").alias("hub_n"))
@@ -207,8 +207,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
         confirmed = confirm(pairs, grams, percent)
         if turn and confirmed.isEmpty():
             continue
-        links = confirmed if links is None else links.union(confirmed)
-        labels = connected(links, "near")
+        labels = connected(confirmed, "near") if labels is None else joined_components(labels, confirmed, "near")
     # what the stars left: every untested pair of different components inside a bucket
     owned = member.select("bucket", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("bucket", "rep", F.coalesce("component", "rep").alias("own"))
     mixed = owned.groupBy("bucket").agg(F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo != hi").select("bucket")
@@ -216,7 +215,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     pairs = cut(remaining_pairs(cut(grams.join(open_, "id").select("id", "own", "grams", "parity"), "open-sets"), percent).join(tested, ["a", "b"], "left_anti"), "remaining-pairs")
     confirmed = confirm(pairs, grams, percent)
     if not confirmed.isEmpty():
-        labels = connected(links.union(confirmed), "near")
+        labels = joined_components(labels, confirmed, "near")
     # components are named by the smallest key of their sets
     named = labels.withColumnRenamed("id", "rep").join(vertices.select("rep", "least"), "rep")
     smallest = named.groupBy("component").agg(F.min("least").alias("smallest"))
