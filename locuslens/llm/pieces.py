@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from locuslens.llm.common import small_batches, with_fields
+from locuslens.llm.common import return_memory, small_batches, with_fields
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 UNIT = re.compile(r"\n| *[^ \n]+| +")
@@ -38,9 +38,9 @@ BLANK, OFFSET = "▁", 2.7
 #: Steps of a path whose branches are on the agenda one by one; those of later steps share one entry.
 STEPS = 48
 #: Nodes above which a worker thins out its lattice cache (memory only, not results).
-CACHE_NODES = 500_000
+CACHE_NODES = 250_000
 #: Characters that are looked up at once, and characters of the texts that are searched together.
-PART, GROUP = 200_000, 200_000
+PART, GROUP = 100_000, 100_000
 MASK = 0xFFFFFFFFFFFFFFFF
 
 
@@ -609,6 +609,7 @@ def encode_samples(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     schema = with_fields(docs.select(*keep).schema, "sample int, ids array<int>, log_prob double, perturbed double, log_inclusion double, round_trip boolean")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return_memory()
         lattices, table = worker_lattices(model, temperature), worker_bytes(model)
         for batch in small_batches(batches, 1024):
             seeds = [xxhash.xxh3_64_intdigest(repr(x), seed) for x in batch.column(0).to_pylist()]
@@ -623,6 +624,7 @@ def encode_samples(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
                     kept = batch.select(list(range(len(keep)))).take(pa.array(a + rows))
                     columns = [pa.array(np.full(len(rows), number + 1, np.int32)), ids, *(pa.array(x[rows]) for x in (t.log_prob, t.score, log_in)), same]
                     yield pa.RecordBatch.from_arrays([*kept.columns, *columns], names=schema.fieldNames())
+        return_memory()
 
     return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(work, schema)
 
