@@ -43,3 +43,28 @@ def test_generated_methods_stay_below_what_the_jvm_compiles(spark):
     adapters.view(spark, SMALL, "reads")
     assert int(spark.conf.get(name)) == 4000, "a lower limit stays"
     spark.conf.unset(name)
+
+
+def test_rounding_without_decimal_texts(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    odd = [0.0, -0.0, 0.004999999999999999, 0.005, -0.005, 0.015, 0.025, -0.025, 0.045, 0.5, 1.005, -1.015, 0.07, 0.08, 123456789.015, None]
+    assert "round(" not in adapters.SPARK_READS
+    text = f"case when t is not null then cast({adapters.CENTS} as bigint) end".replace("l_tax", "t")
+    rows = spark.createDataFrame([(x,) for x in odd], "t double").selectExpr("t", f"{text} as got", "cast(round(t * 100) as bigint) as want").collect()
+    assert [r.got for r in rows] == [r.want for r in rows]
+    assert [r.got for r in rows if r.t is not None] == [int(Decimal(repr(r.t * 100)).quantize(Decimal(1), ROUND_HALF_UP)) for r in rows if r.t is not None]
+
+
+def test_views_in_few_more_splits_than_cores_are_dealt(spark, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    given = table(spark, SMALL, "lineitem", False)
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", 1 << 40)  # a file a split
+    try:
+        given.repartition(cores + 1).write.parquet(str(tmp_path / "lineitem.parquet"))
+        assert table(spark, str(tmp_path), "lineitem", True).rdd.getNumPartitions() == cores + 1
+        assert adapters.view(spark, str(tmp_path), "reads", True).rdd.getNumPartitions() == cores * adapters.WAVES
+        assert adapters.view(spark, str(tmp_path), "reads").rdd.getNumPartitions() == cores + 1
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
