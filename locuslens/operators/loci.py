@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from locuslens.functions import dna
 from locuslens.operators import alignments, intervals
+from locuslens.session import cut
 
 
 def site_intervals(sites: DataFrame) -> DataFrame:
@@ -25,16 +27,50 @@ def locus_members(sites: DataFrame, slack: int = 100) -> DataFrame:
     return out.select(name.alias("locus"), F.col("chrom").alias("locus_chrom"), "locus_start", "locus_end", "positions", "target_info", "is_target")
 
 
-def site_distance(pos: Column, ref: Column, positions: Column) -> Column:
-    """Distance of an allele's first or last reference base to the nearest site position; null for a null position."""
-    sites = F.transform(F.split(positions, ";"), lambda p: p.cast("bigint"))
-    ends = F.array(pos, pos + F.length(ref) - 1)
-    return F.array_min(F.flatten(F.transform(sites, lambda s: F.transform(ends, lambda e: F.abs(e - s)))))
+def site_positions(positions: Column) -> Column:
+    return F.transform(F.split(positions, ";"), lambda p: p.cast("bigint"))
 
 
-def with_distance(alleles: DataFrame, loci: DataFrame) -> DataFrame:
-    near = alleles.join(loci.select("locus", "positions"), "locus")
-    return near.withColumn("distance", site_distance(F.col("pos"), F.col("ref"), F.col("positions"))).drop("positions")
+def nearest(at: Column, sites: Column) -> Column:
+    """Distance of a place to the nearest of ``sites``; null for a null place."""
+    return F.array_min(F.transform(sites, lambda s: F.abs(at - s)))
+
+
+#: Sites of a locus that every allele is compared with; where a locus has more, alleles meet the sites of their stretch of so many bases.
+FEW_SITES, STRETCH = 32, 64
+
+
+def site_stretches(loci: DataFrame, width: int = STRETCH) -> DataFrame:
+    """``(locus, _first, _last, _stretch, _near)``: per stretch of a locus its sites, the last one before and the first one behind them.
+
+    Stretches without sites have those around them, so the nearest site of any place is among those of its stretch, or of the locus' nearest one.
+    """
+    held = loci.select("locus", F.explode(site_positions(F.col("positions"))).alias("p")).groupBy("locus", F.floor(F.col("p") / width).alias("_at")).agg(F.collect_set("p").alias("_own"))
+    along = W.partitionBy("locus").orderBy("_at")
+    around = F.array_compact(F.array(F.lag(F.array_max("_own")).over(along), F.lead(F.array_min("_own")).over(along)))
+    held = held.select("*", around.alias("_around"), F.coalesce(F.lead("_at").over(along) - 1, F.col("_at")).alias("_to"), F.min("_at").over(W.partitionBy("locus")).alias("_first"), F.max("_at").over(W.partitionBy("locus")).alias("_last"))
+    return held.select("locus", "_first", "_last", F.explode(F.sequence("_at", "_to")).alias("_stretch"), F.concat("_own", "_around").alias("_near"))
+
+
+def with_distance(alleles: DataFrame, loci: DataFrame, few: int = FEW_SITES) -> DataFrame:
+    """Alleles of ``loci`` with ``distance``: of their first or last reference base to the nearest site; null for a null position.
+
+    ``loci`` are written. Where none has more than ``few`` sites, alleles meet all of their locus; otherwise those of their stretch, as
+    loci that grow together would make this work grow with alleles times sites.
+    """
+    first, last = F.col("pos"), F.col("pos") + F.length("ref") - 1
+    if (loci.agg(F.max(F.size(F.split("positions", ";"))).alias("n")).head().n or 0) <= few:
+        near = alleles.join(loci.select("locus", site_positions(F.col("positions")).alias("_sites")), "locus")
+        return near.withColumn("distance", F.least(nearest(first, F.col("_sites")), nearest(last, F.col("_sites")))).drop("_sites")
+    stretches = cut(site_stretches(loci), "site-stretches")
+    own = alleles.join(stretches.select("locus", "_first", "_last").distinct(), "locus")
+    place = lambda at: F.least(F.greatest(F.floor(at / STRETCH), F.col("_first")), F.col("_last"))
+    # a null place lies anywhere, as its distance is null
+    own = own.withColumns({"_from": F.when(first.isNull(), F.col("_first")).otherwise(place(first)), "_to": F.when(last.isNull(), F.col("_first")).otherwise(place(last))})
+    for end in ("_from", "_to"):
+        own = own.join(stretches.select("locus", F.col("_stretch").alias(end), F.col("_near").alias(f"_near{end}")), ["locus", end])
+    distance = F.least(nearest(first, F.col("_near_from")), nearest(last, F.col("_near_to")))
+    return own.select("locus", *(c for c in alleles.columns if c != "locus"), distance.alias("distance"))
 
 
 def candidate_filter(alleles: DataFrame, least_reads: int = 1, most_control: int = 0, distance: int = 25) -> DataFrame:
